@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import mixture, neardup, spans
+from archivolt.llm import authored, mixture, neardup, spans
 from archivolt.llm.texts import records
 from archivolt.runtime import table
 
@@ -34,6 +34,16 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_groups(records(spark, d), threshold=0.8, size=5)
 
 
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return authored.new_lines(table(spark, d, "messages"))
+
+
+@query
+def p3_authored(spark: SparkSession, d: str) -> DataFrame:
+    return authored.new_text(table(spark, d, "messages"))
+
+
 @query
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix_sources(mixture.token_counts(_documents(spark, d)), table(spark, d, "mix_targets"))[0]
