@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import authored, mixture, neardup, spans
+from archivolt.llm import authored, mixture, neardup, scanfix, spans
 from archivolt.llm.texts import records
 from archivolt.runtime import table
 
@@ -34,6 +34,22 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_groups(records(spark, d), threshold=0.8, size=5)
 
 
+def _scanned(spark: SparkSession, d: str) -> tuple[DataFrame, scanfix.Editor]:
+    documents = table(spark, d, "documents")
+    editor = scanfix.trained_editor(documents.select(F.col("doc_id").alias("id"), "text"), table(spark, d, "clean_samples"))
+    return scanfix.scanned_records(documents, table(spark, d, "messages"), table(spark, d, "search_results")), editor
+
+
+@query
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return scanfix.scan_findings(*_scanned(spark, d))
+
+
+@query
+def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scanfix.repaired_texts(*_scanned(spark, d))
+
+
 @query
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return authored.new_lines(table(spark, d, "messages"))
