@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import authored, mixture, neardup, scanfix, spans
+from archivolt.llm import authored, mixture, neardup, pii, scanfix, spans
 from archivolt.llm.texts import records
 from archivolt.runtime import table
 
@@ -60,6 +60,23 @@ def p3_authored(spark: SparkSession, d: str) -> DataFrame:
     return authored.new_text(table(spark, d, "messages"))
 
 
+def _personal(spark: SparkSession, d: str) -> tuple[DataFrame, pii.Finder]:
+    documents, messages = table(spark, d, "documents"), table(spark, d, "messages")
+    texts = documents.select(F.lit("d").alias("rec"), F.col("doc_id").alias("id"), "text", "names")
+    texts = texts.unionByName(messages.select(F.lit("m").alias("rec"), F.col("msg_id").alias("id"), F.col("body").alias("text"), F.lit(None).cast("array<string>").alias("names")))
+    return texts, pii.trained_finder(documents, messages)
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.findings(*_personal(spark, d))
+
+
+@query
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redacted(*_personal(spark, d))
+
+
 @query
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix_sources(mixture.token_counts(_documents(spark, d)), table(spark, d, "mix_targets"))[0]
