@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import authored, mixture, neardup, pii, scanfix, spans
+from archivolt.llm import authored, entities, mixture, neardup, pii, scanfix, spans
 from archivolt.llm.texts import records
 from archivolt.runtime import table
 
@@ -77,6 +77,16 @@ def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redacted(*_personal(spark, d))
 
 
+@query
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return entities.linked_pairs(entities.spellings(table(spark, d, "documents"), table(spark, d, "messages")))
+
+
+@query
+def p6_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return entities.linked_names(entities.spellings(table(spark, d, "documents"), table(spark, d, "messages")))
+
+
 @query
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix_sources(mixture.token_counts(_documents(spark, d)), table(spark, d, "mix_targets"))[0]
