@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivolt.llm import authored, entities, mixture, neardup, pii, scanfix, spans
+from archivolt.llm import authored, entities, leakage, mixture, neardup, pii, scanfix, spans
 from archivolt.llm.texts import records
 from archivolt.runtime import table
 
@@ -87,6 +87,16 @@ def p6_clusters(spark: SparkSession, d: str) -> DataFrame:
     return entities.linked_names(entities.spellings(table(spark, d, "documents"), table(spark, d, "messages")))
 
 
+@query
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_items(_documents(spark, d), table(spark, d, "eval_items")).select("item_id", F.col("id").alias("doc_id"))
+
+
+@query
+def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_items(_documents(spark, d), table(spark, d, "eval_items"))
+
+
 @query
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix_sources(mixture.token_counts(_documents(spark, d)), table(spark, d, "mix_targets"))[0]
