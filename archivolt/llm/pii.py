@@ -372,8 +372,9 @@ def fit(samples: list[tuple[str, list[str]]], lexicon: Lexicon) -> Finder:
 
 def trained_finder(documents: DataFrame, messages: DataFrame) -> Finder:
     """``documents`` has ``doc_id, text, names``; ``messages`` ``sender, recipient``."""
-    bare = F.regexp_replace(F.explode(F.split(F.concat_ws(";", "sender", "recipient"), ";")), r'\s*[<\[][^>\]]*[>\]]\s*$|^\s+|\s+$|"', "")
-    names = documents.select(F.explode("names").alias("name")).unionByName(messages.select(bare.alias("name")))
+    cells = messages.select(F.explode(F.split(F.concat_ws(";", "sender", "recipient"), ";")).alias("cell"))
+    bare = F.regexp_replace("cell", r'\s*[<\[][^>\]]*[>\]]\s*$|^\s+|\s+$|"', "")
+    names = documents.select(F.explode("names").alias("name")).unionByName(cells.select(bare.alias("name")))
     lexicon = name_words(names)
     sample = documents.where("size(names) > 1 and text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCUMENTS).select("text", "names").collect()
     return fit([(r.text, r.names) for r in sample], lexicon)
