@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,3 +42,55 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_round
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return labels
+
+
+def capped_clusters(edges: DataFrame, cap: int = 15, free: int = 70) -> DataFrame:
+    """``node, cluster, size``: clusters grown best edge first under a size cap that edges of at least ``free`` ignore.
+
+    ``edges`` has ``i, j, score`` with i < j. Free edges are order-free, so they are contracted first as
+    plain components. Unions never cross a component of the whole graph, so the greedy
+    phase then runs within each component on the contracted edges; a component whose clusters
+    can never exceed the cap needs no greedy phase at all and is one cluster. Edges are taken by
+    score, then larger i, then larger j. ``cluster`` is the smallest node. Nodes without an edge don't occur.
+    """
+    edges = materialize(edges.select("i", "j", "score"), "cappededges")
+    whole = connected_components(edges, "i", "j").withColumnRenamed("root", "component")
+    strong = connected_components(edges.where(F.col("score") >= free), "i", "j")
+    placed = whole.join(strong, "node", "left").select("node", "component", F.coalesce("root", "node").alias("core"))
+    placed = materialize(placed, "placed")
+    sizes = placed.groupBy("component").agg(F.count("*").alias("members"))
+    easy = sizes.where(F.col("members") <= cap).select("component")
+    cores = placed.groupBy("component", "core").agg(F.count("*").alias("n"))
+    of = placed.select(F.col("node").alias("i"), F.col("core").alias("core_i"), "component")
+    to = placed.select(F.col("node").alias("j"), F.col("core").alias("core_j"))
+    # of parallel edges between two cores only the first one tried can matter for a union that the cap allows
+    weak = edges.where(F.col("score") < free).join(of, "i").join(to, "j").where("core_i <> core_j").join(easy, "component", "left_anti")
+    weak = weak.groupBy("component", F.least("core_i", "core_j").alias("u"), F.greatest("core_i", "core_j").alias("v")).agg(F.max(F.struct("score", "i", "j")).alias("first"))
+    hard = weak.select("component", "u", "v", "first.score", "first.i", "first.j", F.lit(None).cast("bigint").alias("n"))
+    seeds = cores.join(weak.select("component").distinct(), "component", "left_semi").select("component", F.col("core").alias("u"), F.lit(None).cast(dict(cores.dtypes)["core"]).alias("v"), F.lit(None).cast("int").alias("score"), F.lit(None).cast(dict(edges.dtypes)["i"]).alias("i"), F.lit(None).cast(dict(edges.dtypes)["j"]).alias("j"), "n")
+
+    def grow(group: pd.DataFrame) -> pd.DataFrame:
+        sizes = {u: int(n) for u, n in zip(group["u"], group["n"], strict=True) if not pd.isna(n)}
+        parent = {u: u for u in sizes}
+
+        def find(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        links = group[group["n"].isna()].sort_values(["score", "i", "j"], ascending=False)
+        for u, v in zip(links["u"], links["v"], strict=True):
+            a, b = find(u), find(v)
+            if a != b and sizes[a] + sizes[b] <= cap:
+                a, b = min(a, b), max(a, b)
+                parent[b] = a
+                sizes[a] += sizes[b]
+        return pd.DataFrame({"core": list(parent), "grown": [find(x) for x in parent]})
+
+    kind = dict(cores.dtypes)["core"]
+    grown = hard.unionByName(seeds).groupBy("component").applyInPandas(grow, f"core {kind}, grown {kind}")
+    named = placed.join(easy.withColumn("easy", F.lit(True)), "component", "left").join(grown, "core", "left")
+    out = named.select("node", F.when(F.col("easy"), F.col("component")).otherwise(F.coalesce("grown", "core")).alias("g"))
+    labels = out.groupBy("g").agg(F.min("node").alias("cluster"), F.count("*").alias("size"))
+    return out.join(labels, "g").select("node", "cluster", "size")
