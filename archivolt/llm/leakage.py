@@ -185,23 +185,34 @@ def _candidates(documents: DataFrame, items: list[tuple[int, list[str]]], run: i
     df[counts["t"].to_numpy(int)] = counts["df"].to_numpy()
     weight = np.log((2.0 + total) / (1.0 + df)).astype(np.float32)
     passages = passages.where("pos >= 0")
-    owners, rows = [], []
+    owners, rows, needed = [], [], []
     for item, ws in items:
         t = terms.terms(ws)
         for p in windows(len(ws)):
             part = t[p : min(p + WINDOW - 1, len(t))]
             owners.append(item)
-            rows.append(np.unique(part[part >= 0]))
+            rows.append(np.unique(part))
+            # a run inside has run - 1 pairs, fewer different ones if pairs are repeated
+            needed.append(run - 1 - (len(part) - len(rows[-1])))
     basis = latent_basis(passages, weight, rows)
-    shared = spark.sparkContext.broadcast((weight, basis, np.array(owners), _unit(_project(rows, weight, basis))))
+    holders = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
+    order = np.argsort(flat, kind="stable")
+    first = np.searchsorted(flat[order], np.arange(len(weight) + 1))
+    shared = spark.sparkContext.broadcast((weight, basis, np.array(owners), _unit(_project(rows, weight, basis)), np.array(needed), holders[order], first))
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, b, owner, latent = shared.value
+        w, b, owner, latent, need, holder, at = shared.value
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.iloc[start : start + 256]
-                x = _unit(_project([np.asarray(t, np.int32) for t in part["terms"]], w, b))
-                i, j = np.nonzero(x @ latent.T >= cosine)
+                rows = [np.asarray(t, np.int32) for t in part["terms"]]
+                near = _unit(_project(rows, w, b)) @ latent.T >= cosine
+                for k, t in enumerate(rows):
+                    # of the near passages those with enough common pairs: an exact check, no part of the search
+                    common = np.bincount(np.concatenate([holder[at[x] : at[x + 1]] for x in t]), minlength=len(owner))
+                    near[k] &= common >= need
+                i, j = np.nonzero(near)
                 out = pd.DataFrame({"item_id": owner[j], "id": part["id"].to_numpy()[i]})
                 yield out.drop_duplicates()
 
