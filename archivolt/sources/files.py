@@ -25,7 +25,7 @@ _CSV = {"header": True, "multiLine": True, "escape": '"', "quote": '"'}
 
 
 def list_files(spark: SparkSession, root: str, folders: str = "DS-*", files: str = "*.pdf") -> DataFrame:
-    """``path, folder, filename, length`` of the files in the root's folders; one level deep, case counts."""
+    """``path, folder, filename, length`` of the files in the root's folders; one level deep, case counts. Files of no bytes aren't listed."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", files).load(f"{root}/{folders}")
     parts = F.split("path", "/")
     return found.select("path", F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("filename"), "length")
