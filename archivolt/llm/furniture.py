@@ -18,7 +18,7 @@ _STYLES = (
     ("dash", re.compile(rf"^- ?{_D} ?-$")),
     ("bracket", re.compile(rf"^\[{_D}\]$")),
     ("slash", re.compile(rf"^p\. ?{_D}/{_D}$")),
-    ("roman", re.compile(r"^([ivxlc]+)$")),
+    ("roman", re.compile(r"^(?!l$)((?=[ivxl])(?:xl|l?x{0,3})(?:ix|iv|v?i{0,3}))$")),
     ("bare", re.compile(r"^(\d{1,4})$")),
 )
 _STAMP = re.compile(r"^[A-Z]{3,6}[\dOIlSB]{6,12}$")
