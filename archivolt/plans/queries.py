@@ -11,7 +11,7 @@ from archivolt.functions import similarity, text
 from archivolt.functions.dates import parse_date
 from archivolt.operators import conversations as conv
 from archivolt.operators import graph, joins, links, render, search, threads, timestamps
-from archivolt.runtime import materialize, table
+from archivolt.runtime import materialize, spread, table
 from archivolt.sources import crawl
 from archivolt.streaming.scan import hits_by_day as stream_hits_by_day
 
@@ -31,7 +31,7 @@ def _col(name: str):
 
 
 def _hits(spark: SparkSession, d: str) -> DataFrame:
-    return search.keyword_hits(search.to_pages(table(spark, d, "documents")), search.load_keywords(table(spark, d, "keywords")))
+    return search.keyword_hits(search.to_pages(spread(table(spark, d, "documents").select("folder", "filename", "text"))), search.load_keywords(table(spark, d, "keywords")))
 
 
 def _listing(spark: SparkSession, d: str) -> DataFrame:
@@ -330,7 +330,7 @@ def indel_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _linked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    documents = table(spark, d, "documents").select("filename", "text")
+    documents = spread(table(spark, d, "documents").select("filename", "text"))
     features = materialize(threads.document_features(documents), "features")
     kept = materialize(threads.messages(features.where("doc_type = 'email'").select("filename", "text")), "messages")
     return features, kept, links.link_features(features, kept.select("filename", "date"))

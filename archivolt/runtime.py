@@ -76,5 +76,11 @@ def discard(df: DataFrame) -> None:
         _remove(df.sparkSession, path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer pieces than there are cores, dealt out to all of them; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
