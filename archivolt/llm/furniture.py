@@ -57,19 +57,27 @@ def furniture_lines(lines: list[str]) -> dict[int, str]:
         return {}
     style, expected = last
     out = {end: "number"}
-    i = end - 1
-    numbers = [(k, p[1]) for k in range(end) if (p := page_number(lines[k])) and p[0] == style]
-    for k, value in reversed(numbers):
-        if value != expected - 1:
-            continue
-        expected = value
-        out[k] = "number"
-        i = k + 1
-        if i < end and _STAMP.match(lines[i].strip()):
+
+    def below(i: int) -> None:
+        """A stamp and a header from line i on."""
+        if i < end and i not in out and _STAMP.match(lines[i].strip()):
             out[i] = "stamp"
             i += 1
-        if i < end and is_header(lines[i]):
+        if i < end and i not in out and is_header(lines[i]):
             out[i] = "header"
+
+    numbers = [(k, p[1]) for k in range(end) if (p := page_number(lines[k])) and p[0] == style]
+    plain = style in ("bare", "roman")  # these may stand for something else, so they must count up by one
+    for k, value in reversed(numbers):
+        stamped = k + 1 < end and bool(_STAMP.match(lines[k + 1].strip()))
+        if value == expected - 1 or (value < expected and (stamped or not plain)):
+            expected = value
+            out[k] = "number"
+            below(k + 1)
+    # a page break may have lost its number; its stamp still marks it
+    for k in range(end):
+        if k not in out and _STAMP.match(lines[k].strip()):
+            below(k)
     return out
 
 

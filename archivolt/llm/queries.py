@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from archivolt.llm import authored, entities, leakage, mixture, neardup, pii, scanfix, spans
 from archivolt.llm.texts import records
-from archivolt.runtime import table
+from archivolt.runtime import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +21,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    return spread(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "source"))
 
 
 @query
@@ -52,18 +52,18 @@ def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return authored.new_lines(table(spark, d, "messages"))
+    return authored.new_lines(spread(table(spark, d, "messages").select("msg_id", "body")))
 
 
 @query
 def p3_authored(spark: SparkSession, d: str) -> DataFrame:
-    return authored.new_text(table(spark, d, "messages"))
+    return authored.new_text(spread(table(spark, d, "messages").select("msg_id", "body")))
 
 
 def _personal(spark: SparkSession, d: str) -> tuple[DataFrame, pii.Finder]:
     documents, messages = table(spark, d, "documents"), table(spark, d, "messages")
-    texts = documents.select(F.lit("d").alias("rec"), F.col("doc_id").alias("id"), "text", "names")
-    texts = texts.unionByName(messages.select(F.lit("m").alias("rec"), F.col("msg_id").alias("id"), F.col("body").alias("text"), F.lit(None).cast("array<string>").alias("names")))
+    texts = spread(documents.select("doc_id", "text", "names")).select(F.lit("d").alias("rec"), F.col("doc_id").alias("id"), "text", "names")
+    texts = texts.unionByName(spread(messages.select("msg_id", "body")).select(F.lit("m").alias("rec"), F.col("msg_id").alias("id"), F.col("body").alias("text"), F.lit(None).cast("array<string>").alias("names")))
     return texts, pii.trained_finder(documents, messages)
 
 

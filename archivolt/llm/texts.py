@@ -9,6 +9,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from archivolt.runtime import spread, table
+
 # Words are runs of letters and digits; combining marks are part of a word, the underscore is not.
 _PLAIN = re.compile(r"[^\W_]+")
 _MARKED = re.compile("(?:[^\\W_]|[̀-ͯ᪰-᫿᷀-᷿⃐-⃿︠-︯])+")
@@ -68,10 +70,8 @@ def digest(text: Column) -> Column:
 
 def records(spark, folder: str, names: str = "dm") -> DataFrame:
     """``rec, id, text`` of documents (``d``), messages (``m``) and search results (``s``); copies of a delivery are not yet merged."""
-    from archivolt.runtime import table
-
     sources = {"d": ("documents", "doc_id", "text"), "m": ("messages", "msg_id", "body"), "s": ("search_results", "hit_id", "context")}
-    parts = [table(spark, folder, t).select(F.lit(rec).alias("rec"), F.col(key).alias("id"), F.col(text).alias("text")) for rec, (t, key, text) in sources.items() if rec in names]
+    parts = [spread(table(spark, folder, t).select(F.lit(rec).alias("rec"), F.col(key).alias("id"), F.col(text).alias("text"))) for rec, (t, key, text) in sources.items() if rec in names]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
