@@ -101,16 +101,26 @@ def extract_names(c: Column, known: tuple[str, ...] = DEFAULTS.known_names) -> C
     return F.array_sort(F.array_union(listed, headed))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def document_type(c: Column) -> Column:
     """The type with most indicators in the text, at least two; the earlier type wins a tie."""
-    low = F.lower(c)
-    scores = {kind: sum((F.contains(low, F.lit(w)).cast("int") for w in ws), F.lit(0)) for kind, ws in TYPE_INDICATORS.items()}
-    # one number holds score and precedence: the larger score first, then the earlier type
-    ranked = F.greatest(*(s * 10 + (len(scores) - i) for i, s in enumerate(scores.values())))
-    pick = F.lit("other")
-    for i, kind in enumerate(scores):
-        pick = F.when((ranked >= 20) & (ranked % 10 == len(scores) - i), kind).otherwise(pick)
-    return F.when(c.isNull(), F.lit("other")).otherwise(pick)
+
+    def ranked(low: Column) -> Column:
+        # one number holds score and precedence: the larger score first, then the earlier type
+        scores = [sum((F.contains(low, F.lit(w)).cast("int") for w in ws), F.lit(0)) for ws in TYPE_INDICATORS.values()]
+        return F.greatest(*(s * 10 + (len(scores) - i) for i, s in enumerate(scores)))
+
+    def named(rank: Column) -> Column:
+        pick = F.lit("other")
+        for i, kind in enumerate(TYPE_INDICATORS):
+            pick = F.when((rank >= 20) & (rank % 10 == len(TYPE_INDICATORS) - i), kind).otherwise(pick)
+        return pick
+
+    return _once(_once(F.lower(F.coalesce(c, F.lit(""))), ranked), named)
 
 
 def clean_message_body(c: Column, owners: tuple[str, ...] = DEFAULTS.owner_names) -> Column:

@@ -40,16 +40,14 @@ def is_duplicate(norm: str, kept: list[str]) -> bool:
 def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int = 20_000) -> DataFrame:
     """Greedy fuzzy dedup within each group: the first of like messages stays, in the given order.
 
-    Exact copies go first, natively. What is left of a group is taken by one task; like
-    bodies begin alike or contain each other, but greedy order cannot be split without
-    changing its result, so a group of more than ``hot`` different bodies is cut into salted
-    parts of that size by its order, deduplicated part by part and then against the parts before.
+    Exact copies go first, natively. What is left of a group (a conversation) is taken by one task. A group of
+    more than ``hot`` different bodies is cut into parts of about that size, and only what the parts
+    keep is gone over as a whole; its result then holds no like pair, but may keep fewer than strict order would.
     """
     first = dedup_exact(messages, group, order)
     # the part a message falls in, by its order within the group; nearly every group has one part
     sized = first.groupBy(group).agg(F.count("*").alias("_n"))
-    parts = first.join(sized, group).withColumn("_part", F.when(F.col("_n") <= hot, F.lit(0)).otherwise(F.pmod(F.xxhash64("norm"), F.ceil(F.col("_n") / hot)).cast("int"))).drop("_n")
-    schema = ", ".join(f"`{n}` {t}" for n, t in parts.dtypes)
+    parts = first.join(sized, group).withColumn("_part", F.when(F.col("_n") <= hot, F.lit(0)).otherwise(F.pmod(F.xxhash64("norm"), F.ceil(F.col("_n") / hot)).cast("int")))
 
     def greedy(part: pd.DataFrame) -> pd.DataFrame:
         kept: list[str] = []
@@ -62,10 +60,11 @@ def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int =
                 kept.append(norm)
         return part[keep]
 
-    once = parts.groupBy(group, "_part").applyInPandas(greedy, schema)
-    # groups that were cut are gone over once more as a whole, with what the parts left
-    again = once.withColumn("_part", F.lit(0)).groupBy(group, "_part").applyInPandas(greedy, schema)
-    return again.drop("_part")
+    parts = materialize(parts, "dedup")
+    schema = ", ".join(f"`{n}` {t}" for n, t in parts.dtypes)
+    whole = parts.where(F.col("_n") <= hot).groupBy(group).applyInPandas(greedy, schema)
+    cut = parts.where(F.col("_n") > hot).groupBy(group, "_part").applyInPandas(greedy, schema)
+    return whole.unionByName(cut.groupBy(group).applyInPandas(greedy, schema)).drop("_part", "_n")
 
 
 def sort_messages(messages: DataFrame, group: str, order: list[str]) -> DataFrame:

@@ -24,11 +24,13 @@ def _first_offset(text: Column, pattern: str) -> Column:
     return F.when(F.size(head) > 1, F.length(head[0]))
 
 
-def quote_boundary(text: Column) -> dict[str, Column]:
-    """``offset`` of the first quote (the length of the text without one) and ``attributed``: whether it names date and sender."""
-    named = _first_offset(text, ATTRIBUTION)
-    plain = F.least(*(_first_offset(text, "(?diuU)" + m) for m in MARKERS), F.length(text))
-    return {"offset": F.least(F.coalesce(named, F.length(text)), plain), "attributed": F.coalesce(named <= plain, F.lit(False)) & named.isNotNull() & (F.coalesce(named, F.length(text)) < F.length(text))}
+def with_quote_boundary(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the ``offset`` of the first quote (the text's length without one) and ``attributed``: whether it names date and sender.
+
+    The offsets are one stage and their comparison the next, so no pattern runs twice over a text.
+    """
+    found = df.select("*", _first_offset(F.col(text), ATTRIBUTION).alias("_named"), F.least(*(_first_offset(F.col(text), "(?diuU)" + m) for m in MARKERS), F.length(text)).alias("_plain"))
+    return found.select(*df.columns, F.least("_named", "_plain").alias("offset"), F.coalesce((F.col("_named") <= F.col("_plain")) & (F.col("_named") < F.length(text)), F.lit(False)).alias("attributed"))
 
 
 def main_body(above: Column) -> Column:
@@ -59,9 +61,8 @@ def messages(documents: DataFrame, text: str = "text", parse_dates: bool = True)
     The main message is kept if its body has more than 5 characters, the quoted one if more than 10.
     Null texts give no message.
     """
-    top = headers(F.col(text))
-    cut = quote_boundary(F.col(text))
-    one = documents.where(F.col(text).isNotNull()).select("filename", F.col(text).alias("_t"), *(v.alias(f"_{k}") for k, v in {**top, **cut}.items()))
+    one = with_quote_boundary(documents.where(F.col(text).isNotNull()).select("filename", F.col(text).alias("_t")), "_t")
+    one = one.select("filename", "_t", F.col("offset").alias("_offset"), F.col("attributed").alias("_attributed"), *(v.alias(f"_{k}") for k, v in headers(F.col("_t")).items()))
     two = one.select("*", strip(F.substring("_t", F.lit(1), F.col("_offset"))).alias("_above"), F.when(F.col("_offset") < F.length("_t"), strip(F.substring(F.col("_t"), F.col("_offset") + 1, F.length("_t")))).alias("_quoted"))
     quoted = quoted_parts(F.col("_quoted"), F.col("_attributed"))
     three = two.select("*", main_body(F.col("_above")).alias("_body"), *(v.alias(f"_q_{k}") for k, v in quoted.items()))

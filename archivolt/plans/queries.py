@@ -259,13 +259,13 @@ def render_dates(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def quote_boundary(spark: SparkSession, d: str) -> DataFrame:
-    cut = threads.quote_boundary(F.col("text"))
-    return table(spark, d, "documents").where("text is not null").select("doc_id", *(v.alias(k) for k, v in cut.items()))
+    pages = table(spark, d, "documents").where("text is not null").select("doc_id", "text")
+    return threads.with_quote_boundary(pages, "text").drop("text")
 
 
 @query
 def thread_messages(spark: SparkSession, d: str) -> DataFrame:
-    kept = threads.messages(table(spark, d, "documents").where("doc_type = 'email'"))
+    kept = threads.messages(spread(table(spark, d, "documents").where("doc_type = 'email'").select("filename", "text")))
     return kept.select("filename", "msg_idx", "sender", "recipient", "date_str", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("wall"), "subject", "body")
 
 
@@ -374,7 +374,7 @@ def dedup_exact(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dedup_messages(spark: SparkSession, d: str) -> DataFrame:
-    mail = table(spark, d, "messages").select("msg_id", text.subject_norm(F.col("subject")).alias("thread"), "body").distinct()
+    mail = spread(table(spark, d, "messages").select("msg_id", "subject", "body")).select("msg_id", text.subject_norm(F.col("subject")).alias("thread"), "body").distinct()
     return conv.dedup_messages(mail, "thread", ["msg_id"]).select("thread", "msg_id")
 
 

@@ -20,11 +20,10 @@ def test_two_messages(spark):
     assert str(quoted.date) == "2008-12-18 12:17:00"
 
 
-def test_simple_marker(column):
-    cut = lambda k: lambda c: threads.quote_boundary(c)[k]
-    texts = ["a\nSent from my iPhone\nb", "no quote", "----- Original Message -----\nx"]
-    assert column(cut("offset"), texts) == [2, 8, 0]
-    assert column(cut("attributed"), texts) == [False, False, False]
+def test_simple_marker(spark):
+    texts = ["a\nSent from my iPhone\nb", "no quote", "----- Original Message -----\nx", MAIL]
+    rows = threads.with_quote_boundary(spark.createDataFrame(list(enumerate(texts)), "i int, t string"), "t").orderBy("i").collect()
+    assert [(r.offset, r.attributed) for r in rows] == [(2, False), (8, False), (0, False), (MAIL.index("On Thu"), True)]
 
 
 def test_counts(spark):
