@@ -88,7 +88,8 @@ def file_keywords(hits: DataFrame) -> DataFrame:
 
 def scan_totals(hits: DataFrame, files: DataFrame) -> DataFrame:
     """One row: matches, files scanned, files with a match."""
-    return hits.agg(F.count("*").alias("matches"), F.count_distinct("folder", "filename").alias("files_matched")).crossJoin(files.agg(F.count_distinct("folder", "filename").alias("files")))
+    found = hits.agg(F.lit(1).alias("_one"), F.count("*").alias("matches"), F.count_distinct("folder", "filename").alias("files_matched"))
+    return found.join(files.agg(F.lit(1).alias("_one"), F.count_distinct("folder", "filename").alias("files")), "_one").drop("_one")
 
 
 def matched_files(hits: DataFrame, listing: DataFrame) -> DataFrame:

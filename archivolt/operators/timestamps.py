@@ -190,12 +190,13 @@ def estimate_zones(parsed: DataFrame, groups: DataFrame, group: str = "folder",
     regions = _known_regions(parsed)
     zone = F.when(F.col(declared).isin(regions), F.col(declared))
     known = groups.select(group, zone.alias("_declared")).groupBy(group).agg(F.min("_declared").alias("_declared"))
-    candidates = known.select(F.col("_declared").alias("zone")).where("zone is not null").union(parsed.sparkSession.createDataFrame([("UTC",)], "zone string")).distinct()
+    # names of zones: no more than the zone data has, about 600
+    candidates = sorted({"UTC"} | {r._declared for r in known.where("_declared is not null").select("_declared").distinct().collect()})
     keyed = parsed.select(group, "wall", "fixed", "ingested_at", _thread_key(F.col("subject")).alias("_thread"), _reply_depth(F.col("subject")).alias("_depth"))
     # a declared zone is binding, so evidence is only gathered for groups that declare none
     unknown = keyed.join(known.where("_declared is not null"), group, "left_anti").where("wall is not null and fixed is null")
     parents = keyed.where("fixed is not null and _thread <> ''").groupBy(group, "_thread", (F.col("_depth") + 1).alias("_depth")).agg(F.min("fixed").alias("_parent"))
-    tried = unknown.join(parents, [group, "_thread", "_depth"], "left").crossJoin(F.broadcast(candidates))
+    tried = unknown.join(parents, [group, "_thread", "_depth"], "left").withColumn("zone", F.explode(F.array(*(F.lit(z) for z in candidates))))
     instant = F.convert_timezone(F.col("zone"), F.lit("UTC"), F.col("wall"))
     late = (instant > F.col("ingested_at").cast("timestamp_ntz")).cast("int")
     early = (instant < F.col("_parent")).cast("int")
