@@ -9,6 +9,11 @@ characters that two records share holds a start whose whole window lies inside
 it, in both records alike: candidates lose nothing. Characters are compared as
 they stand, so no unit is normalised.
 
+A digest shared by very many records (a notice, a form) forms no pairs as it is: every
+window of ``length`` characters that may begin a shared span around such a start is
+digested in its turn, and only records that agree on one of these meet. What then
+meets does share a span, so the pairs are those that the result holds anyway.
+
 Candidate pairs meet with the shift between their starts, and the exact runs of
 equal characters along that shift are measured on the whole texts. Equal texts
 are one class until the end.
@@ -34,6 +39,8 @@ from pyspark.sql import functions as F
 from archivolt.llm.texts import digest, text_class
 from archivolt.runtime import materialize
 
+#: A digest that more classes share than this is split by the exact windows around it before any pair is formed.
+HOT_DIGEST = 100
 _START = re.compile(r"(?:\n|[.?!;:] )(?=\S)")
 _GRAM = 16
 
@@ -98,7 +105,22 @@ def _runs(a: str, b: str, shift: int, length: int) -> list[tuple[int, int]]:
     return [(int(lo + breaks[i] + 1), int(gaps[i])) for i in np.flatnonzero(gaps >= length)]
 
 
-def shared_runs(documents: DataFrame, length: int = 300, unit: int = 120) -> tuple[DataFrame, DataFrame]:
+def _exact_windows(starts: DataFrame, keyed: DataFrame, length: int, unit: int) -> DataFrame:
+    """``cls, key, pos`` of every window of ``length`` characters that begins at most ``unit`` + 2 before a hot start."""
+    per_class = starts.groupBy("cls").agg(F.collect_set("pos").alias("starts"))  # at most a text's own starts
+    joined = keyed.select("cls", "text").join(per_class, "cls")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for c, text, hot_starts in zip(batch["cls"], batch["text"], batch["starts"], strict=True):
+                at = sorted({s for p in hot_starts for s in range(max(0, p - unit - 2), p + 1) if s + length <= len(text)})
+                key = np.array([xxhash.xxh3_64_intdigest(text[s : s + length].encode("utf-8", "surrogatepass"), seed=1) for s in at], np.uint64)
+                yield pd.DataFrame({"cls": np.full(len(at), c, np.int64), "key": key.view(np.int64), "pos": np.array(at, np.int32)})
+
+    return joined.mapInPandas(cut, "cls bigint, key bigint, pos int").distinct()
+
+
+def shared_runs(documents: DataFrame, length: int = 300, unit: int = 120, hot: int = HOT_DIGEST) -> tuple[DataFrame, DataFrame]:
     """Shared spans of classes and the members of classes.
 
     ``documents`` has ``id, text``. Returns ``(cls_a, cls_b, start_a, start_b, chars)`` with
@@ -107,8 +129,11 @@ def shared_runs(documents: DataFrame, length: int = 300, unit: int = 120) -> tup
     keyed = documents.select("id", "text", text_class(F.col("text")).alias("cls")).where(F.length("text") >= length)
     members = keyed.select("id", "cls", F.length("text").alias("chars")).distinct()
     units = materialize(unit_digests(keyed, length, unit), "units")
-    repeated = units.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("key")
-    common = units.join(repeated, "key", "left_semi")
+    sizes = units.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("key", "n")
+    sizes = materialize(sizes, "digests")
+    common = units.join(sizes.where(F.col("n") <= hot).select("key"), "key", "left_semi")
+    if sizes.where(F.col("n") > hot).limit(1).count():
+        common = common.unionByName(_exact_windows(units.join(sizes.where(F.col("n") > hot).select("key"), "key", "left_semi"), keyed, length, unit))
     candidates = common.alias("a").join(common.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.cls") < F.col("b.cls"))).select(F.col("a.cls").alias("cls_a"), F.col("b.cls").alias("cls_b"), (F.col("a.pos") - F.col("b.pos")).alias("shift")).distinct()
     candidates = materialize(candidates, "candidates")
     wanted = candidates.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct()
@@ -125,9 +150,9 @@ def shared_runs(documents: DataFrame, length: int = 300, unit: int = 120) -> tup
     return joined.mapInPandas(measure, "cls_a bigint, cls_b bigint, start_a int, start_b int, chars int"), members
 
 
-def shared_span_pairs(documents: DataFrame, length: int = 300, unit: int = 120) -> DataFrame:
+def shared_span_pairs(documents: DataFrame, length: int = 300, unit: int = 120, hot: int = HOT_DIGEST) -> DataFrame:
     """``doc_a, doc_b`` of all records that share a span of at least ``length`` characters."""
-    runs, members = shared_runs(documents, length, unit)
+    runs, members = shared_runs(documents, length, unit, hot)
     a = members.select(F.col("id").alias("x"), "cls")
     across = runs.select("cls_a", "cls_b").distinct().join(a.withColumnRenamed("cls", "cls_a"), "cls_a").join(a.select(F.col("x").alias("y"), F.col("cls").alias("cls_b")), "cls_b").select("x", "y")
     within = a.join(a.select(F.col("x").alias("y"), "cls"), "cls").where("x < y").select("x", "y")

@@ -89,6 +89,7 @@ def test_shared_spans_against_all_spans(spark, rows):
         want |= {(a, b) for a in ids for b in ids if a < b}
     df = spark.createDataFrame([*texts.items(), (200, texts[200]), (600, None), (601, "")], "id bigint, text string").selectExpr("*", "0 AS cls")
     assert {tuple(r) for r in spans.shared_span_pairs(df).collect()} == want
+    assert {tuple(r) for r in spans.shared_span_pairs(df, hot=1).collect()} == want
     shares = {r.id: r for r in spans.shared_shares(df).collect()}
     linked = {x for p in want for x in p}
     assert {i for i, r in shares.items() if r.shared_chars > 0} == linked
