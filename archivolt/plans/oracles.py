@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from archivolt.config import ADDRESS_REPAIRS, DATE_REPAIRS, TYPE_INDICATORS
+from archivolt.config import ADDRESS_REPAIRS, DATE_REPAIRS, JUNK_PATTERNS, TYPE_INDICATORS
 
 _W = r"\p{L}\p{M}\p{Nd}\p{Pc}"
 
@@ -60,6 +60,37 @@ def _norm_body(x: str) -> str:
     return _replace_all(out, rf"[^{_W}\s]")
 
 
+def _clean_text(x: str) -> str:
+    out = f"coalesce({x}, '')"
+    for pattern in JUNK_PATTERNS:
+        # the one lookahead ends at the first line end in any case, which a plain pattern says too
+        out = _replace_all(out, "(?im)" + pattern.replace(r"[\s\S]*?)(?=\n(?!>)|$)", ".*)"))
+    return _strip(_replace_all(_replace_all(out, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+
+
+def _clean_message_body(x: str) -> str:
+    out = _clean_text(x)
+    for head in ("To:", "From:", "Fran:", "Sent:?", "Subject:", "Date:"):
+        out = _replace_all(out, f"(?im)^{head}.*$")
+    for pattern in (
+        r"(?m)^[Ii]?lane-Images:.*$", r"(?im)^\d{4,}_\d+.*jpg.*$", rf"(?im)^\d+\s+\d+;\s+\d+\s+\d+:\d+_[{_W}]+\.?jpg.*$", r"(?im)^\d{4,}\s+\d+;\s+\d+\s+\d+:\d+_njpg.*$",
+        r"(?m)^\s*\d{5,}\s*$", r"EFTA_R\d+_\d+\s*", r"EFTA\d{8,}\s*",
+        r"(?im)(?:^>?\s*[w*]{5,}\s*\n)?(?:^>?\s*)*The information contained in this communication is[\s\S]*?(?:including all attachments|all copies thereof|attachments)\s*\.?",
+        r"(?m)^>\s*[w*]+\s*$", r"(?im)(?:^>?\s*)*and may be unlawful[\s\S]*?attachments\.?",
+        r"(?im)(?:^>?\s*)*confidential,?\s*may be attorney-client privileged[\s\S]*?addressee\.?", r"(?im)(?:^>?\s*)*If you have received this[\s\S]*?(?:attachments\.?|thereof[,.])",
+    ):
+        out = _replace_all(out, pattern)
+    return _strip(_replace_all(out, r"\n{3,}", "\n\n"))
+
+
+_PARTICIPANT = rf"""SELECT sender, CASE
+    WHEN p = '' OR contains(lower(p), 'wrote:') OR length(p) > 80 OR starts_with(p, 'On ') OR starts_with(p, 'I ') OR starts_with(p, 'i ') OR contains(p, 'Sent from') OR starts_with(p, 'ein(') OR starts_with(p, 'eini') OR starts_with(p, '• ') THEN ''
+    WHEN inside <> '' THEN CASE WHEN name <> '' AND length(name) < 40 AND NOT starts_with(name, 'On ') THEN name || ' <' || {_norm_email('inside')} || '>' ELSE {_norm_email('inside')} END
+    WHEN address <> '' THEN {_norm_email('address')}
+    WHEN length(p) < 40 AND NOT regexp_matches(p, '[:@><\n(]') AND NOT regexp_matches(p, '^[\d.\s]+$') THEN p ELSE '' END AS cleaned
+  FROM (SELECT sender, p, regexp_extract(p, '[<\[(]([^>\])]+@[^>\])]+)[>\])]', 1) AS inside, regexp_extract(p, '[{_W}.\-]+@[{_W}.\-]+\.[{_W}]+') AS address,
+        regexp_replace({_strip(r"regexp_replace(p, '(?s)[<\[(].*', '', 'g')")}, '^On.*?,\s*', '') AS name
+        FROM (SELECT DISTINCT sender, {_strip("coalesce(sender, '')")} AS p FROM messages))"""
 _KEYWORDS = f"SELECT ord, lower({_strip('keyword')}) AS keyword FROM keywords WHERE {_strip('keyword')} <> ''"
 _PARTS = f"""
   SELECT d.folder, d.filename, 1 AS page, k.ord, k.keyword, d.text, length(k.folded) AS step,
@@ -126,6 +157,9 @@ ORACLES: dict[str, str] = {
     "header_fields": f"SELECT doc_id, {_header(r'^To:\s*(.+?)(?:\n|$)')} AS h_to, {_header(r'^From:\s*(.+?)(?:\n|$)')} AS h_from, {_header(r'^(?:Sent|Date)[:\s]+(.+?)(?:\n|$)')} AS h_sent, {_header(r'^Subject:\s*(.+?)(?:\n|$)')} AS h_subject FROM documents",
     "doc_type": _doc_type("text"),
     "doc_type_counts": f"SELECT found_type, count(*) AS n FROM ({_doc_type('text')}) GROUP BY found_type",
+    "clean_text": f"SELECT doc_id, {_clean_text('text')} AS cleaned FROM documents",
+    "clean_message_body": f"SELECT DISTINCT msg_id, {_clean_message_body('body')} AS cleaned FROM messages",
+    "clean_participant": _PARTICIPANT,
     "clean_for_matching": f"SELECT doc_id, {_clean_for_matching('text')} AS cleaned FROM documents",
     "fix_date_ocr": f"SELECT DISTINCT date_str, {_fix_date('date_str')} AS fixed FROM messages",
     "normalize_body": f"SELECT DISTINCT msg_id, {_norm_body('body')} AS norm FROM messages",
