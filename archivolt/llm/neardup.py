@@ -129,6 +129,18 @@ def _verified(pairs: DataFrame, size: int, min_words: int, threshold: float) ->
     return pairs.mapInPandas(verify, "cls_a bigint, cls_b bigint, similarity double")
 
 
+def _keyed(records: DataFrame) -> DataFrame:
+    return records.select("rec", "id", "text", text_class(F.col("rec"), F.col("text")).alias("cls"))
+
+
+def _check(candidates: DataFrame, keyed: DataFrame, size: int, min_words: int, threshold: float) -> DataFrame:
+    """The candidates (``cls_a, cls_b``, written once) that are similar enough, by their whole texts."""
+    wanted = candidates.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct()
+    texts = keyed.select("cls", "text").join(wanted, "cls", "left_semi").withColumn("_d", digest(F.col("text"))).dropDuplicates(["cls", "_d"]).drop("_d")
+    joined = candidates.join(texts.select(F.col("cls").alias("cls_a"), F.col("text").alias("text_a")), "cls_a").join(texts.select(F.col("cls").alias("cls_b"), F.col("text").alias("text_b")), "cls_b")
+    return _verified(joined, size, min_words, threshold).distinct()
+
+
 def near_pairs(records: DataFrame, threshold: float = 0.6, size: int = 3, min_words: int = 20, bands: int = 40, rows: int = 4) -> tuple[DataFrame, DataFrame]:
     """Pairs of classes and the members of classes.
 
@@ -137,16 +149,13 @@ def near_pairs(records: DataFrame, threshold: float = 0.6, size: int = 3, min_wo
     of the records that take part. Nothing is collected: bands are matched by a
     sort-merge self-join that adaptive execution splits where a key is hot.
     """
-    keyed = records.select("rec", "id", "text", text_class(F.col("rec"), F.col("text")).alias("cls"))
+    keyed = _keyed(records)
     signed = materialize(signatures(keyed, size, min_words, bands, rows), "bands")
     members = keyed.select("rec", "id", "cls").distinct().join(signed.select("cls"), "cls", "left_semi")
     banded = signed.select("cls", F.explode("keys").alias("key"))
     candidates = banded.alias("a").join(banded.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.cls") < F.col("b.cls"))).select(F.col("a.cls").alias("cls_a"), F.col("b.cls").alias("cls_b")).distinct()
     candidates = materialize(candidates, "candidates")
-    wanted = candidates.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct()
-    texts = keyed.select("cls", "text").join(wanted, "cls", "left_semi").withColumn("_d", digest(F.col("text"))).dropDuplicates(["cls", "_d"]).drop("_d")
-    joined = candidates.join(texts.select(F.col("cls").alias("cls_a"), F.col("text").alias("text_a")), "cls_a").join(texts.select(F.col("cls").alias("cls_b"), F.col("text").alias("text_b")), "cls_b")
-    return _verified(joined, size, min_words, threshold).distinct(), members
+    return _check(candidates, keyed, size, min_words, threshold), members
 
 
 def near_record_pairs(records: DataFrame, **options) -> DataFrame:
@@ -160,17 +169,32 @@ def near_record_pairs(records: DataFrame, **options) -> DataFrame:
     return both.select("rec", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
-def near_groups(records: DataFrame, **options) -> DataFrame:
-    """``rec, id, group_id, links``: every taking-part record with the smallest id of its group and its class's number of links.
+def near_groups(records: DataFrame, threshold: float = 0.8, size: int = 5, min_words: int = 20, bands: int = 40, rows: int = 4) -> DataFrame:
+    """``rec, id, group_id, members``: every taking-part record with the smallest id of its group and the group's size.
 
-    Groups are the connected components of the verified pairs of classes, found
-    by the distributed union-find of the core; a record without partner is its
-    own group.
+    Groups are the connected components of all similar pairs, found without forming all pairs of a bucket: first each
+    class of a bucket is held against the bucket's first one, and what is similar is united. Then only classes of
+    one bucket that are still in different components are held against each other, so no link between
+    different texts is lost and a bucket of many near copies costs little more than its size.
+    A record without partner is its own group.
     """
-    pairs, members = near_pairs(records, **options)
-    pairs = materialize(pairs, "pairs")
-    roots = connected_components(pairs.select(F.col("cls_a").alias("u"), F.col("cls_b").alias("v")))
-    links = pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("links"))
-    placed = members.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = placed.groupBy("root").agg(F.min("id").alias("group_id"))
-    return placed.join(smallest, "root").join(links, "cls", "left").select("rec", "id", "group_id", F.coalesce("links", F.lit(0)).alias("links"))
+    keyed = _keyed(records)
+    signed = materialize(signatures(keyed, size, min_words, bands, rows), "bands")
+    members = keyed.select("rec", "id", "cls").distinct().join(signed.select("cls"), "cls", "left_semi")
+    banded = signed.select("cls", F.explode("keys").alias("key"))
+    firsts = banded.groupBy("key").agg(F.min("cls").alias("first"), F.max("cls").alias("last")).where("first <> last").select("key", "first")
+    shared = materialize(banded.join(firsts, "key"), "buckets")
+    stars = materialize(shared.where("cls <> first").select(F.col("first").alias("cls_a"), F.col("cls").alias("cls_b")).distinct(), "stars")
+    edges = materialize(_check(stars, keyed, size, min_words, threshold).select(F.col("cls_a").alias("u"), F.col("cls_b").alias("v")), "edges")
+    roots = connected_components(edges).withColumnRenamed("node", "cls")
+    placed = shared.select("key", "cls").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    # buckets whose classes are one component already need nothing more
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    left = materialize(placed.join(open_keys, "key", "left_semi"), "open")
+    apart = left.alias("a").join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.cls") < F.col("b.cls")) & (F.col("a.root") != F.col("b.root")))
+    apart = apart.select(F.col("a.cls").alias("cls_a"), F.col("b.cls").alias("cls_b")).distinct().join(stars, ["cls_a", "cls_b"], "left_anti")
+    more = _check(materialize(apart, "apart"), keyed, size, min_words, threshold).select(F.col("cls_a").alias("u"), F.col("cls_b").alias("v"))
+    roots = connected_components(edges.unionByName(more)).withColumnRenamed("node", "cls")
+    grouped = members.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    sizes = grouped.groupBy("root").agg(F.min("id").alias("group_id"), F.count("*").alias("members"))
+    return grouped.join(sizes, "root").select("rec", "id", "group_id", "members")

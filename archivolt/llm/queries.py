@@ -31,7 +31,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
-    return neardup.near_groups(records(spark, d), threshold=0.8, size=5)
+    return neardup.near_groups(records(spark, d))
 
 
 def _scanned(spark: SparkSession, d: str) -> tuple[DataFrame, scanfix.Editor]:
