@@ -135,7 +135,7 @@ ORACLES: dict[str, str] = {
     "result_file_keywords": "SELECT filename, string_agg(DISTINCT keyword, ', ' ORDER BY keyword) AS keywords FROM search_results WHERE keyword IS NOT NULL GROUP BY filename",
     "recent_matches_topk": "SELECT hit_id, filename, keyword, found_at FROM search_results ORDER BY found_at DESC, hit_id DESC LIMIT 10",
     "file_id_semijoin": "SELECT DISTINCT filename FROM search_results WHERE filename IN (SELECT filename FROM documents)",
-    "needs_ocr": f"""SELECT filename, len(p) AS n_pages, NOT (list_sum(list_transform(p, lambda x: length({_strip('x')}))) > 180 * len(p)) AS needs_ocr
+    "needs_ocr": f"""SELECT filename, len(p)::int AS n_pages, NOT (list_sum(list_transform(p, lambda x: length({_strip('x')}))) > 180 * len(p)) AS needs_ocr
         FROM (SELECT filename, string_split(text, chr(10) || chr(10)) AS p FROM documents)""",
     "hits_by_day": "SELECT date_trunc('day', found_at)::timestamp AS day, keyword, count(*) AS n FROM search_results GROUP BY 1, 2",
     "html_link_extract": r"""SELECT DISTINCT CASE WHEN regexp_extract(folder, '(\d+)', 1) <> '' THEN 'DS-' || regexp_extract(folder, '(\d+)', 1) ELSE 'Unknown' END AS folder, keyword, trim(filename) AS filename, page, trim(coalesce(context, '')) AS context, pdf_url FROM crawl_results""",
@@ -174,12 +174,12 @@ ORACLES: dict[str, str] = {
         SELECT e.folder AS edge_folder, count(*) AS n_within_day FROM m JOIN e ON m.date_ts >= e.t AND m.date_ts < e.t + INTERVAL 24 HOUR GROUP BY e.folder""",
     "shared_email_overlap": f"""WITH e AS (SELECT doc_id, unnest({_EMAILS}) AS email FROM documents)
         SELECT doc_id, count(*) AS n_shared FROM e WHERE email IN (SELECT email FROM e GROUP BY email HAVING count(*) > 1) GROUP BY doc_id""",
-    "chunk_shingles": f"""SELECT doc_id, len(list_filter(list_transform(starts, lambda i: substring(c, (i * 50 + 1)::bigint, 100)), lambda x: length({_strip('x')}) >= 80 AND length(regexp_replace(x, '[^\\p{{L}}]', '', 'g')) >= 40)) AS n_chunks FROM ({_CHUNKED})""",
+    "chunk_shingles": f"""SELECT doc_id, len(list_filter(list_transform(starts, lambda i: substring(c, (i * 50 + 1)::bigint, 100)), lambda x: length({_strip('x')}) >= 80 AND length(regexp_replace(x, '[^\\p{{L}}]', '', 'g')) >= 40))::int AS n_chunks FROM ({_CHUNKED})""",
     "link_confidence": "SELECT s AS score, CASE WHEN s >= 70 THEN 'high' WHEN s >= 40 THEN 'probable' ELSE 'low' END AS confidence FROM range(0, 175, 5) t(s)",
     "doc_components": f"""WITH n AS (SELECT filename, lower({_subject_norm('subject')}) AS s FROM documents)
         SELECT filename AS node, min(filename) OVER (PARTITION BY s) AS root FROM n WHERE length(s) > 3 QUALIFY count(*) OVER (PARTITION BY s) > 1""",
     "dedup_exact": f"""SELECT DISTINCT folder, min(msg_id) AS msg_id FROM (SELECT folder, msg_id, {_norm_body('body')} AS norm FROM messages) WHERE length(norm) >= 10 GROUP BY folder, norm""",
-    "message_numbering": "SELECT source_file, row_number() OVER (PARTITION BY source_file ORDER BY date_ts ASC NULLS LAST, msg_id) AS number, msg_id FROM (SELECT DISTINCT msg_id, source_file, date_ts FROM messages)",
+    "message_numbering": "SELECT source_file, row_number() OVER (PARTITION BY source_file ORDER BY date_ts ASC NULLS LAST, msg_id)::int AS number, msg_id FROM (SELECT DISTINCT msg_id, source_file, date_ts FROM messages)",
     "conversation_subject": f"""SELECT source_file, mode(s ORDER BY s) AS subject FROM (SELECT DISTINCT ON (msg_id, source_file, subject) source_file, {_subject_norm('subject')} AS s FROM messages WHERE subject <> '') GROUP BY source_file""",
     "conversation_date_range": "SELECT source_file, min(date_ts) AS date_min, max(date_ts) AS date_max FROM messages GROUP BY source_file",
     "conversation_participants": "SELECT source_file, string_agg(DISTINCT p, '|' ORDER BY p) AS participants FROM (SELECT source_file, unnest([sender, recipient]) AS p FROM messages) WHERE p <> '' GROUP BY source_file",
