@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from archivolt.functions import similarity, text
 from archivolt.functions.dates import parse_date
+from archivolt.functions.fingerprints import with_fingerprints
 from archivolt.operators import conversations as conv
 from archivolt.operators import graph, joins, links, render, search, threads, timestamps
 from archivolt.runtime import materialize, spread, table
@@ -338,10 +339,8 @@ def _linked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
 
 @query
 def quoted_text_match(spark: SparkSession, d: str) -> DataFrame:
-    docs = materialize(table(spark, d, "documents").select("filename", text.clean_for_matching(F.col("text")).alias("clean")).withColumn("chunks", joins.text_chunks(F.col("clean"))), "chunked")
-    pairs = joins.quoted_candidates(docs, "filename", "clean")
-    both = pairs.join(docs.select(F.col("filename").alias("i"), F.col("clean").alias("a"), F.col("chunks").alias("ca")), "i").join(docs.select(F.col("filename").alias("j"), F.col("clean").alias("b"), F.col("chunks").alias("cb")), "j")
-    found = both.where(joins.shares_chunk(F.col("a"), F.col("b"), F.col("ca"), F.col("cb"))).select("i", "j")
+    docs = materialize(with_fingerprints(table(spark, d, "documents").select("filename", text.clean_for_matching(F.col("text")).alias("clean")), "clean"), "printed")
+    found = joins.quoted_pairs(docs, "filename", "clean", joins.text_chunks(F.col("clean")))
     return found.select(F.explode(F.array("i", "j")).alias("filename")).groupBy("filename").agg(F.count("*").alias("n_links"))
 
 
@@ -358,7 +357,7 @@ def link_edges(spark: SparkSession, d: str) -> DataFrame:
 @query
 def doc_components(spark: SparkSession, d: str) -> DataFrame:
     named = table(spark, d, "documents").select("filename", F.lower(text.subject_norm(F.col("subject"))).alias("s")).where("length(s) > 3")
-    return graph.connected_components(joins.group_pairs(named, "s", "filename"), "i", "j")
+    return graph.connected_components(joins.group_pairs(named, "s", "filename", joins.HOT_GROUP), "i", "j")
 
 
 @query
@@ -416,9 +415,10 @@ def conversation_numbering(spark: SparkSession, d: str) -> DataFrame:
 def _conversations(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     features, kept, docs = _linked(spark, d)
     docs = materialize(docs, "linkdocs")
+    quoted, alike = links.common_text(docs), links.like_subjects(docs)
     edges = materialize(links.link_edges(docs), "edges")
     clusters = materialize(graph.capped_clusters(edges), "clusters")
-    scored = links.score_pairs(conv.cluster_pairs(clusters), docs)
+    scored = links.score_pairs(conv.cluster_pairs(clusters), docs, quoted, alike)
     talks, mail = conv.conversations(clusters, features, kept, scored)
     return materialize(talks, "talks"), materialize(mail, "mail"), features.join(clusters.where("size > 1").select(F.col("node").alias("filename")), "filename", "left_anti"), kept
 
