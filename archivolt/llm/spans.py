@@ -160,7 +160,9 @@ def shared_span_pairs(documents: DataFrame, length: int = 300, unit: int = 120,
 
 
 def shared_shares(documents: DataFrame, length: int = 300, unit: int = 120) -> DataFrame:
-    """``id, chars, spans, shared_chars, shared_share, removed_chars``: one row a record of at least ``length`` characters.
+    """``id, chars, spans, shared_chars, shared_share, removed_chars, ranges, kept_text``: one row a record of at least ``length`` characters.
+
+    ``ranges`` cuts the record into ``start, end, shared, kept`` by its own offsets; ``kept_text`` joins the kept ranges.
 
     ``shared_chars`` counts characters inside any shared span. ``removed_chars`` counts those whose
     earliest ranked occurrence (smallest id) is another record: what deduplication would drop
@@ -175,15 +177,27 @@ def shared_shares(documents: DataFrame, length: int = 300, unit: int = 120) -> D
     sides = ranked.groupBy("cls", "s", "e").agg(F.max((F.col("other_first") < F.col("first")).cast("int")).alias("later"))
 
     def covered(df: DataFrame, name: str) -> DataFrame:
-        # one row a record and distinct span; the array is bounded by the record's own length
+        # one row a class, its merged spans; the array is bounded by the record's own length
         spans = df.groupBy("cls").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("spans"))
-        total = F.aggregate("spans", F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum"), F.lit(0).alias("n")), lambda acc, x: F.struct(F.greatest(acc["end"], x["e"]).alias("end"), (acc["sum"] + F.greatest(x["e"] - F.greatest(acc["end"], x["s"]), F.lit(0))).alias("sum"), (acc["n"] + (x["s"] > acc["end"]).cast("int") + ((acc["n"] == 0) & (x["s"] <= acc["end"])).cast("int")).alias("n")))
-        return spans.select("cls", total.alias(name))
+        kind = "array<struct<s:int,e:int>>"
+
+        def add(acc, x):
+            last = F.get(acc, F.size(acc) - 1)
+            longer = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"))))
+            return F.when(last["e"] >= x["s"], longer).otherwise(F.concat(acc, F.array(x))).cast(kind)
+
+        return spans.select("cls", F.aggregate("spans", F.array().cast(kind), add).alias(name))
 
     shared, dropped = covered(sides, "_all"), covered(sides.where("later = 1"), "_later")
-    out = members.join(first.select("cls", "first", "copies"), "cls").join(shared, "cls", "left").join(dropped, "cls", "left")
-    copied = F.col("copies") > 1
-    whole = F.col("chars")
-    chars = F.when(copied, whole).otherwise(F.coalesce(F.col("_all.sum"), F.lit(0)))
-    gone = F.when(copied & (F.col("id") > F.col("first")), whole).otherwise(F.coalesce(F.col("_later.sum"), F.lit(0)))
-    return out.select("id", "chars", F.when(copied, 1).otherwise(F.coalesce(F.col("_all.n"), F.lit(0))).alias("spans"), chars.alias("shared_chars"), (chars / whole).alias("shared_share"), gone.alias("removed_chars"))
+    texts = documents.select("id", "text", text_class(F.col("text")).alias("cls")).where(F.length("text") >= length).dropDuplicates(["id", "cls"])
+    out = members.join(first.select("cls", "first", "copies"), "cls").join(shared, "cls", "left").join(dropped, "cls", "left").join(texts, ["id", "cls"])
+    copied, none = F.col("copies") > 1, F.array().cast("array<struct<s:int,e:int>>")
+    whole = F.array(F.struct(F.lit(0).alias("s"), F.col("chars").alias("e")))
+    out = out.withColumn("_in", F.when(copied, whole).otherwise(F.coalesce("_all", none))).withColumn("_out", F.when(copied & (F.col("id") > F.col("first")), whole).otherwise(F.coalesce("_later", none)))
+    edges = F.array_sort(F.array_distinct(F.flatten(F.array(F.array(F.lit(0), F.col("chars")), *(F.col(f"{c}.{e}") for c in ("_in", "_out") for e in "se")))))
+    within = lambda spans, p: F.exists(spans, lambda x: (x["s"] <= p) & (p < x["e"]))
+    pieces = F.transform(F.slice(F.col("_edges"), F.lit(1), F.size("_edges") - 1), lambda p, i: F.struct(p.alias("start"), F.get("_edges", i + 1).alias("end"), within(F.col("_in"), p).alias("shared"), (~within(F.col("_out"), p)).alias("kept")))
+    out = out.withColumn("_edges", edges).withColumn("ranges", pieces)
+    total = lambda spans: F.aggregate(spans, F.lit(0), lambda acc, x: acc + x["e"] - x["s"])
+    kept = F.array_join(F.transform(F.filter("ranges", lambda r: r["kept"]), lambda r: F.substring(F.col("text"), r["start"] + 1, r["end"] - r["start"])), "")
+    return out.select("id", "chars", F.size("_in").alias("spans"), total(F.col("_in")).alias("shared_chars"), (total(F.col("_in")) / F.col("chars")).alias("shared_share"), total(F.col("_out")).alias("removed_chars"), "ranges", kept.alias("kept_text"))
