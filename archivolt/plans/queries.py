@@ -301,6 +301,15 @@ def same_date_interval_join(spark: SparkSession, d: str) -> DataFrame:
     return near.groupBy("edge_folder").agg(F.count("*").alias("n_within_day"))
 
 
+@query
+def same_date_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many other messages stand at or less than 24 hours before each dated message."""
+    mail = table(spark, d, "messages").where("date_ts is not null").select("folder", "msg_id", "date_ts").distinct()
+    side = lambda k, c: mail.select(F.struct("folder", "msg_id", "date_ts").alias(k), F.col("date_ts").alias(c))
+    near = joins.day_after_join(side("i", "a"), side("j", "b"), "a", "b").where("i <> j")
+    return near.groupBy("i").agg(F.count("*").alias("n_within_day")).select("i.folder", "i.msg_id", "i.date_ts", "n_within_day")
+
+
 @query
 def shared_email_overlap(spark: SparkSession, d: str) -> DataFrame:
     """How many of a document's addresses other documents hold too."""
