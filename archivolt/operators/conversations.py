@@ -138,8 +138,8 @@ def conversations(clusters: DataFrame, features: DataFrame, kept: DataFrame, sco
     return numbered(out, [F.col("date_min").asc_nulls_last(), F.col("cluster").asc()]), ordered
 
 
-def cluster_pairs(clusters: DataFrame, cap: int = 200) -> DataFrame:
-    """``i, j`` of all pairs within each cluster; clusters over ``cap`` members, which only free edges can build, pair with their first member."""
+def cluster_pairs(clusters: DataFrame) -> DataFrame:
+    """``i, j`` of all pairs within each cluster, of any size."""
     from archivolt.operators.joins import group_pairs
 
-    return group_pairs(clusters.where("size > 1").select("cluster", "node"), "cluster", "node", cap)
+    return group_pairs(clusters.where("size > 1").select("cluster", "node"), "cluster", "node")
