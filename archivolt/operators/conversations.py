@@ -6,8 +6,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from archivolt.functions.fingerprints import with_fingerprints
 from archivolt.functions.similarity import ratio
 from archivolt.functions.text import clean_participant, normalize_body, participant_key, subject_norm
+from archivolt.operators.joins import fuzzy_pairs
 from archivolt.runtime import materialize
 
 
@@ -37,22 +39,59 @@ def is_duplicate(norm: str, kept: list[str]) -> bool:
     return False
 
 
+def like_pairs(bodies: DataFrame, group: str) -> DataFrame:
+    """``group, a, b`` of all bodies of a group of which one is a duplicate of the other.
+
+    A body contained in another has all its fingerprints there, so its rarest one is looked up; other like bodies
+    have like first 50 characters. :func:`is_duplicate` decides on each candidate.
+    """
+    prints = materialize(with_fingerprints(bodies.select(group, "norm"), "norm", 11, 11).select(group, "norm", F.explode("prints").alias("print")), "bodyprints")
+    uses = prints.groupBy(group, "print").agg(F.count("*").alias("n"))
+    rarest = prints.join(uses, [group, "print"]).groupBy(group, "norm").agg(F.min_by("print", F.struct("n", "print")).alias("print"))
+    held = rarest.withColumnRenamed("norm", "a").join(prints.withColumnRenamed("norm", "b"), [group, "print"]).where("a <> b").where(F.contains("b", "a")).select(group, "a", "b")
+    heads = bodies.where(F.length("norm") > 30).select(group, "norm", F.substring("norm", 1, 50).alias("head"))
+    alike = fuzzy_pairs(heads, "head", 85).select(F.col("a").alias("head"), F.col("b").alias("other"))
+    every = alike.unionByName(heads.select("head", F.col("head").alias("other")).distinct())
+    near = heads.withColumnRenamed("norm", "a").join(every, "head").join(heads.select(group, F.col("norm").alias("b"), F.col("head").alias("other")), [group, "other"]).where("a <> b").select(group, "a", "b")
+    met = held.unionByName(near).select(group, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    @F.pandas_udf("boolean")
+    def duplicate(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([is_duplicate(x, [y]) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+    return met.where(duplicate("a", "b"))
+
+
+def first_of_like(bodies: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """The rows that the ordered greedy choice keeps, in rounds: a row with a kept earlier neighbour goes, one with no earlier neighbour left stays."""
+    ranked = bodies.select(group, "norm", F.struct(*order, "norm").alias("r"))
+    sides = like_pairs(bodies, group).join(ranked.select(group, F.col("norm").alias("a"), F.col("r").alias("ra")), [group, "a"]).join(ranked.select(group, F.col("norm").alias("b"), F.col("r").alias("rb")), [group, "b"])
+    earlier = F.col("ra") < F.col("rb")
+    edges = materialize(sides.select(group, F.when(earlier, F.col("a")).otherwise(F.col("b")).alias("before"), F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("norm")), "like")
+    gone = None
+    while edges.limit(1).count():
+        # a first one without an earlier neighbour among the undecided is kept; its later neighbours go
+        kept = edges.join(edges.select(group, F.col("norm").alias("before")).distinct(), [group, "before"], "left_anti")
+        lost = materialize(kept.select(group, "norm").distinct(), "lost")
+        gone = lost if gone is None else gone.unionByName(lost)
+        edges = materialize(edges.join(lost, [group, "norm"], "left_anti").join(lost.withColumnRenamed("norm", "before"), [group, "before"], "left_anti").select(group, "before", "norm"), "like")
+    return bodies if gone is None else bodies.join(gone, [group, "norm"], "left_anti").select(bodies.columns)
+
+
 def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int = 20_000) -> DataFrame:
     """Greedy fuzzy dedup within each group: the first of like messages stays, in the given order.
 
-    Exact copies go first, natively. What is left of a group (a conversation) is taken by one task. A group of
-    more than ``hot`` different bodies is cut into parts of about that size, and only what the parts
-    keep is gone over as a whole; its result then holds no like pair, but may keep fewer than strict order would.
+    Exact copies go first, natively. What is left of a group (a conversation) is taken by one task; a group of
+    more than ``hot`` different bodies is decided in rounds over its like pairs, with the same result.
     """
     first = dedup_exact(messages, group, order)
-    # the part a message falls in, by its order within the group; nearly every group has one part
     sized = first.groupBy(group).agg(F.count("*").alias("_n"))
-    parts = first.join(sized, group).withColumn("_part", F.when(F.col("_n") <= hot, F.lit(0)).otherwise(F.pmod(F.xxhash64("norm"), F.ceil(F.col("_n") / hot)).cast("int")))
+    parts = first.join(sized, group)
 
     def greedy(part: pd.DataFrame) -> pd.DataFrame:
         kept: list[str] = []
         keep = []
-        part = part.sort_values(order, kind="stable")
+        part = part.sort_values([*order, "norm"], kind="stable")
         for norm in part["norm"]:
             duplicate = is_duplicate(norm, kept)
             keep.append(not duplicate)
@@ -63,8 +102,10 @@ def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int =
     parts = materialize(parts, "dedup")
     schema = ", ".join(f"`{n}` {t}" for n, t in parts.dtypes)
     whole = parts.where(F.col("_n") <= hot).groupBy(group).applyInPandas(greedy, schema)
-    cut = parts.where(F.col("_n") > hot).groupBy(group, "_part").applyInPandas(greedy, schema)
-    return whole.unionByName(cut.groupBy(group).applyInPandas(greedy, schema)).drop("_part", "_n")
+    large = parts.where(F.col("_n") > hot)
+    if large.limit(1).count():
+        whole = whole.unionByName(first_of_like(large, group, order))
+    return whole.drop("_n")
 
 
 def sort_messages(messages: DataFrame, group: str, order: list[str]) -> DataFrame:
