@@ -50,9 +50,9 @@ def like_pairs(bodies: DataFrame, group: str) -> DataFrame:
     rarest = prints.join(uses, [group, "print"]).groupBy(group, "norm").agg(F.min_by("print", F.struct("n", "print")).alias("print"))
     held = rarest.withColumnRenamed("norm", "a").join(prints.withColumnRenamed("norm", "b"), [group, "print"]).where("a <> b").where(F.contains("b", "a")).select(group, "a", "b")
     heads = bodies.where(F.length("norm") > 30).select(group, "norm", F.substring("norm", 1, 50).alias("head"))
-    alike = fuzzy_pairs(heads, "head", 85).select(F.col("a").alias("head"), F.col("b").alias("other"))
-    every = alike.unionByName(heads.select("head", F.col("head").alias("other")).distinct())
-    near = heads.withColumnRenamed("norm", "a").join(every, "head").join(heads.select(group, F.col("norm").alias("b"), F.col("head").alias("other")), [group, "other"]).where("a <> b").select(group, "a", "b")
+    alike = fuzzy_pairs(heads, "head", 85, group).select(group, F.col("a").alias("head"), F.col("b").alias("other"))
+    every = alike.unionByName(heads.select(group, "head", F.col("head").alias("other")).distinct())
+    near = heads.withColumnRenamed("norm", "a").join(every, [group, "head"]).join(heads.select(group, F.col("norm").alias("b"), F.col("head").alias("other")), [group, "other"]).where("a <> b").select(group, "a", "b")
     met = held.unionByName(near).select(group, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     @F.pandas_udf("boolean")
@@ -78,7 +78,7 @@ def first_of_like(bodies: DataFrame, group: str, order: list[str]) -> DataFrame:
     return bodies if gone is None else bodies.join(gone, [group, "norm"], "left_anti").select(bodies.columns)
 
 
-def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int = 20_000) -> DataFrame:
+def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int = 500) -> DataFrame:
     """Greedy fuzzy dedup within each group: the first of like messages stays, in the given order.
 
     Exact copies go first, natively. What is left of a group (a conversation) is taken by one task; a group of

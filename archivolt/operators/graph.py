@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from archivolt.runtime import discard, materialize
 
 
-def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """``node, root``: every node of an edge with the smallest node of its component.
 
     Distributed union-find: each round takes the smallest root among a node and its
@@ -23,7 +23,8 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_round
     both = edges.select(F.col(u).alias("node"), F.col(v).alias("other")).where("node is not null and other is not null")
     both = materialize(both.unionByName(both.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "edges")
     labels = materialize(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")), "labels")
-    for _ in range(max_rounds):
+    changed = True
+    while changed:  # a round lowers some root until every component has its smallest node, so this ends
         root_of = labels.select(F.col("node").alias("other"), F.col("root").alias("seen"))
         near = both.join(root_of, "other").groupBy("node").agg(F.min("seen").alias("seen"))
         offers = labels.join(near, "node").select("node", "root", F.least("root", "seen").alias("low"))
@@ -37,10 +38,7 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v", max_round
         discard(labels)
         labels = new.select("node", F.col("new").alias("root"))
         labels._archivolt_path = new._archivolt_path
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    discard(both)
     return labels
 
 

@@ -1,9 +1,10 @@
 """Keyword search over pages: whole words, any case, any diacritics, one row an occurrence.
 
-The keyword list is small and bounded by whoever writes it; it is broadcast
-behind a check of its size and joined the usual way beyond it. A page is only
-taken apart for a keyword that it contains, so the regular expression
-runs on few of the pages x keywords.
+A keyword can only stand where its first run of word characters is a word of
+the page, so pages meet keywords in an equi-join on that word and the keyword's
+pattern runs only there. A list of at most ``BROADCAST_KEYWORDS`` (checked) is
+broadcast; a longer one is joined by shuffle with the pages' words alone, and the
+pages' texts are joined to the pairs that are left.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ def to_pages(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.select("folder", "filename", parts.alias("_pos", "text")).select("folder", "filename", (F.col("_pos") + 1).alias("page"), "text")
 
 
+_WORD = r"(?U)\w+"
+
+
 def _whole_word(keyword: Column) -> Column:
     quoted = F.replace(keyword, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
     return F.concat(F.lit(r"(?U)\b\Q"), quoted, F.lit(r"\E\b"))
@@ -43,11 +47,18 @@ def keyword_hits(pages: DataFrame, keywords: DataFrame, context_chars: int = DEF
     keywords all count; hits of one keyword don't overlap. A keyword without word
     characters at its ends matches only where a word character touches it.
     """
-    small = keywords.limit(BROADCAST_KEYWORDS + 1).count() <= BROADCAST_KEYWORDS
     listed = keywords.select("ord", "keyword", fold(F.col("keyword")).alias("_key"))
-    listed = F.broadcast(listed) if small else listed
+    listed = listed.withColumn("_word", F.regexp_extract("_key", _WORD, 0))
     folded = pages.select("folder", "filename", "page", "text", fold(F.col("text")).alias("_folded"))
-    near = folded.join(listed, F.contains(F.col("_folded"), F.col("_key")))
+    # the empty word is on every page: it stands for keywords without any word character
+    words = F.explode(F.array_append(F.array_distinct(F.regexp_extract_all("_folded", F.lit(_WORD), F.lit(0))), F.lit(""))).alias("_word")
+    if keywords.limit(BROADCAST_KEYWORDS + 1).count() <= BROADCAST_KEYWORDS:
+        near = folded.select("*", words).join(F.broadcast(listed), "_word")
+    else:
+        page = ["folder", "filename", "page", "_text"]
+        marked = folded.withColumn("_text", F.xxhash64("text"))
+        pairs = marked.select(*page, words).join(listed, "_word").distinct()
+        near = marked.join(pairs, page)
     parts = near.withColumn("_parts", F.split("_folded", _whole_word(F.col("_key")), -1)).where(F.size("_parts") > 1)
     step = F.length("_key")
     # running offsets: each hit begins where the parts and keywords before it end

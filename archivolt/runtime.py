@@ -39,9 +39,14 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder: the session's ``spark.checkpoint.dir``, else one of our own."""
+    """The shared folder: the session's ``spark.checkpoint.dir``; a local session without one gets a temporary folder.
+
+    On a cluster the setting must be there, as no folder of one machine outlives it.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="archivolt-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
