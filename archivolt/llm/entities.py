@@ -247,7 +247,7 @@ def similar_spellings(read: DataFrame, q: int = 2, rows: int = 2, similarity: fl
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "score").groupBy("a", "b").agg(F.max("score").alias("score"))
 
 
-def star_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 30) -> DataFrame:
+def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``name, center``: stars around the nodes of highest rank.
 
     ``nodes`` has ``name, rank`` (a sortable struct, unique), ``edges`` both directions as
@@ -256,7 +256,7 @@ def star_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 30) -> D
     best center beside them. Every round is written to the shared folder.
     """
     state = materialize(nodes.select("name", "rank", F.lit(None).cast("string").alias("center")), "stars")
-    for _ in range(max_rounds):
+    while True:  # the free node of highest rank becomes a center in every round, so this ends
         free = state.where("center is null").select("name", "rank")
         among = edges.join(free.select("name"), "name").join(free.select(F.col("name").alias("other")), "other", "left_semi")
         best = among.groupBy("name").agg(F.max("other_rank").alias("top"))
@@ -269,7 +269,6 @@ def star_clusters(nodes: DataFrame, edges: DataFrame, max_rounds: int = 30) -> D
         state = new
         if not left:
             return state.select("name", "center")
-    raise RuntimeError(f"stars did not settle in {max_rounds} rounds")
 
 
 def linked_names(names: DataFrame) -> DataFrame:
