@@ -63,6 +63,32 @@ DATE_REPAIRS = (
 # Literal repairs of mail addresses read by a scanner, in this order, after lower case.
 ADDRESS_REPAIRS = (("agmail", "@gmail"), ("egmail", "@gmail"), ("@ernail", "@email"), ("@grnail", "@gmail"), ("®", "@"))
 
+# What is removed from a body for display, in this order (^ and $ at lines), and whether case is ignored.
+BODY_JUNK = (
+    (r"^To:.*$", True),
+    (r"^From:.*$", True),
+    (r"^Fran:.*$", True),
+    (r"^Sent:?.*$", True),
+    (r"^Subject:.*$", True),
+    (r"^Date:.*$", True),
+    (r"^[Ii]?lane-Images:.*$", False),
+    (r"^\d{4,}_\d+.*jpg.*$", True),
+    (r"^\d+\s+\d+;\s+\d+\s+\d+:\d+_\w+\.?jpg.*$", True),
+    (r"^\d{4,}\s+\d+;\s+\d+\s+\d+:\d+_njpg.*$", True),
+    (r"^\s*\d{5,}\s*$", False),
+    (r"EFTA_R\d+_\d+\s*", False),
+    (r"EFTA\d{8,}\s*", False),
+    (r"(?:^>?\s*[w*]{5,}\s*\n)?(?:^>?\s*)*The information contained in this communication is[\s\S]*?(?:including all attachments|all copies thereof|attachments)\s*\.?", True),
+    (r"^>\s*[w*]+\s*$", False),
+)
+# The notice that names an owner, and the notices after it.
+BODY_OWNER = r"(?:^>?\s*)*(?:It is the )?property of\s*\n?(?:^>?\s*)*\Q{owner}\E[\s\S]*?(?:attachments\.?|thereof[,.])"
+BODY_NOTICES = (
+    (r"(?:^>?\s*)*and may be unlawful[\s\S]*?attachments\.?", True),
+    (r"(?:^>?\s*)*confidential,?\s*may be attorney-client privileged[\s\S]*?addressee\.?", True),
+    (r"(?:^>?\s*)*If you have received this[\s\S]*?(?:attachments\.?|thereof[,.])", True),
+)
+
 
 @dataclass(frozen=True)
 class Settings:

@@ -14,7 +14,7 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from archivolt.config import ADDRESS_REPAIRS, DATE_REPAIRS, DEFAULTS, JUNK_PATTERNS, TYPE_INDICATORS
+from archivolt.config import ADDRESS_REPAIRS, BODY_JUNK, BODY_NOTICES, BODY_OWNER, DATE_REPAIRS, DEFAULTS, JUNK_PATTERNS, TYPE_INDICATORS
 
 
 def strip(c: Column) -> Column:
@@ -101,7 +101,7 @@ def extract_names(c: Column, known: tuple[str, ...] = DEFAULTS.known_names) -> C
     return F.array_sort(F.array_union(listed, headed))
 
 
-def _once(value: Column, use) -> Column:
+def once(value: Column, use) -> Column:
     """``use(value)`` with the value worked out once, however often it is mentioned."""
     return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
 
@@ -120,32 +120,14 @@ def document_type(c: Column) -> Column:
             pick = F.when((rank >= 20) & (rank % 10 == len(TYPE_INDICATORS) - i), kind).otherwise(pick)
         return pick
 
-    return _once(_once(F.lower(F.coalesce(c, F.lit(""))), ranked), named)
+    return once(once(F.lower(F.coalesce(c, F.lit(""))), ranked), named)
 
 
 def clean_message_body(c: Column, owners: tuple[str, ...] = DEFAULTS.owner_names) -> Column:
     """A message body for display: junk, doubled headers, picture names, numbers and notices removed."""
     out = clean_text(c)
-    for head in ("To:", "From:", "Fran:", "Sent:?", "Subject:", "Date:"):
-        out = F.regexp_replace(out, f"(?dimuU)^{head}.*$", "")
-    steps = [
-        r"(?dmU)^[Ii]?lane-Images:.*$",
-        r"(?dimuU)^\d{4,}_\d+.*jpg.*$",
-        r"(?dimuU)^\d+\s+\d+;\s+\d+\s+\d+:\d+_\w+\.?jpg.*$",
-        r"(?dimuU)^\d{4,}\s+\d+;\s+\d+\s+\d+:\d+_njpg.*$",
-        r"(?dmU)^\s*\d{5,}\s*$",
-        r"(?U)EFTA_R\d+_\d+\s*",
-        r"(?U)EFTA\d{8,}\s*",
-        r"(?dimuU)(?:^>?\s*[w*]{5,}\s*\n)?(?:^>?\s*)*The information contained in this communication is[\s\S]*?(?:including all attachments|all copies thereof|attachments)\s*\.?",
-        r"(?dmU)^>\s*[w*]+\s*$",
-    ]
-    for owner in owners:
-        steps.append(rf"(?dimuU)(?:^>?\s*)*(?:It is the )?property of\s*\n?(?:^>?\s*)*\Q{owner}\E[\s\S]*?(?:attachments\.?|thereof[,.])")
-    steps += [
-        r"(?dimuU)(?:^>?\s*)*and may be unlawful[\s\S]*?attachments\.?",
-        r"(?dimuU)(?:^>?\s*)*confidential,?\s*may be attorney-client privileged[\s\S]*?addressee\.?",
-        r"(?dimuU)(?:^>?\s*)*If you have received this[\s\S]*?(?:attachments\.?|thereof[,.])",
-    ]
+    owned = [BODY_OWNER.replace("{owner}", owner) for owner in owners]
+    steps = [("(?dimuU)" if fold else "(?dmU)") + p for p, fold in (*BODY_JUNK, *((p, True) for p in owned), *BODY_NOTICES)]
     for pattern in steps:
         out = F.regexp_replace(out, pattern, "")
     return strip(F.regexp_replace(out, r"\n{3,}", "\n\n"))

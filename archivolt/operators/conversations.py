@@ -39,16 +39,23 @@ def is_duplicate(norm: str, kept: list[str]) -> bool:
     return False
 
 
-def like_pairs(bodies: DataFrame, group: str) -> DataFrame:
-    """``group, a, b`` of all bodies of a group of which one is a duplicate of the other.
+def contained_pairs(bodies: DataFrame, group: str) -> DataFrame:
+    """``group, a, b`` of all different bodies (``norm``) of a group of which a, of more than 20 characters, is a part of b.
 
-    A body contained in another has all its fingerprints there, so its rarest one is looked up; other like bodies
-    have like first 50 characters. :func:`is_duplicate` decides on each candidate.
+    A body contained in another has all its fingerprints there, so its rarest one is looked up.
     """
     prints = materialize(with_fingerprints(bodies.select(group, "norm"), "norm", 11, 11).select(group, "norm", F.explode("prints").alias("print")), "bodyprints")
     uses = prints.groupBy(group, "print").agg(F.count("*").alias("n"))
     rarest = prints.join(uses, [group, "print"]).groupBy(group, "norm").agg(F.min_by("print", F.struct("n", "print")).alias("print"))
-    held = rarest.withColumnRenamed("norm", "a").join(prints.withColumnRenamed("norm", "b"), [group, "print"]).where("a <> b").where(F.contains("b", "a")).select(group, "a", "b")
+    return rarest.withColumnRenamed("norm", "a").join(prints.withColumnRenamed("norm", "b"), [group, "print"]).where("a <> b").where(F.contains("b", "a")).select(group, "a", "b")
+
+
+def like_pairs(bodies: DataFrame, group: str) -> DataFrame:
+    """``group, a, b`` of all bodies of a group of which one is a duplicate of the other.
+
+    Candidates are the contained bodies and those with like first 50 characters; :func:`is_duplicate` decides on each.
+    """
+    held = contained_pairs(bodies, group)
     heads = bodies.where(F.length("norm") > 30).select(group, "norm", F.substring("norm", 1, 50).alias("head"))
     alike = fuzzy_pairs(heads, "head", 85, group).select(group, F.col("a").alias("head"), F.col("b").alias("other"))
     every = alike.unionByName(heads.select(group, "head", F.col("head").alias("other")).distinct())
@@ -84,9 +91,10 @@ def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int =
     Exact copies go first, natively. What is left of a group (a conversation) is taken by one task; a group of
     more than ``hot`` different bodies is decided in rounds over its like pairs, with the same result.
     """
-    first = dedup_exact(messages, group, order)
-    sized = first.groupBy(group).agg(F.count("*").alias("_n"))
-    parts = first.join(sized, group)
+    # as a text a null group is a key like any other
+    first = dedup_exact(messages, group, order).withColumn("_g", F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("")))
+    sized = first.groupBy("_g").agg(F.count("*").alias("_n"))
+    parts = first.join(sized, "_g")
 
     def greedy(part: pd.DataFrame) -> pd.DataFrame:
         kept: list[str] = []
@@ -101,11 +109,11 @@ def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int =
 
     parts = materialize(parts, "dedup")
     schema = ", ".join(f"`{n}` {t}" for n, t in parts.dtypes)
-    whole = parts.where(F.col("_n") <= hot).groupBy(group).applyInPandas(greedy, schema)
+    whole = parts.where(F.col("_n") <= hot).groupBy("_g").applyInPandas(greedy, schema)
     large = parts.where(F.col("_n") > hot)
     if large.limit(1).count():
-        whole = whole.unionByName(first_of_like(large, group, order))
-    return whole.drop("_n")
+        whole = whole.unionByName(first_of_like(large, "_g", order))
+    return whole.select(first.columns).drop("_g")
 
 
 def sort_messages(messages: DataFrame, group: str, order: list[str]) -> DataFrame:

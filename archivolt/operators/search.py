@@ -109,6 +109,16 @@ def matched_files(hits: DataFrame, listing: DataFrame) -> DataFrame:
     return once.join(listing.select("folder", "filename").distinct(), ["folder", "filename"], "left_semi").withColumn("target", F.concat_ws("_", "folder", "filename"))
 
 
+def summary_rows(hits: DataFrame) -> DataFrame:
+    """``Filename, Keywords``: the rows of the summary file."""
+    return file_keywords(hits).select(F.col("filename").alias("Filename"), F.col("keywords").alias("Keywords"))
+
+
+def first_errors(files: DataFrame, k: int = 10) -> DataFrame:
+    """``path, error`` of the first k files that could not be read, by path; ``error`` is null for the others."""
+    return files.where("error is not null").select("path", "error").orderBy("path").limit(k)
+
+
 def recent_matches(hits: DataFrame, order: list[Column], k: int = 10) -> DataFrame:
     """The last k matches, newest first: a top-k, so no full sort."""
     return hits.orderBy(*[c.desc() for c in order]).limit(k)

@@ -91,3 +91,9 @@ def name_email_pairs(features: DataFrame) -> DataFrame:
     """``email, name, n_documents``: names and addresses that occur in the same document."""
     pairs = features.select("filename", F.explode("email_addresses").alias("email"), "names").select("filename", F.lower("email").alias("email"), F.explode("names").alias("name"))
     return pairs.groupBy("email", "name").agg(F.count_distinct("filename").alias("n_documents"))
+
+
+def name_occurrences(features: DataFrame) -> DataFrame:
+    """``name, filename, times``: where a name stands beside an address, once for each address of the document."""
+    each = features.select("filename", F.explode("names").alias("name"), F.size("email_addresses").alias("times"))
+    return each.where("times > 0").groupBy("name", "filename").agg(F.sum("times").alias("times"))

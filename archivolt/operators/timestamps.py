@@ -3,11 +3,11 @@
 ``normalise_timestamps`` reads a free-form time text with built-in string
 functions only, so the whole operator stays in generated JVM code. A zone or
 offset written in the text counts. Without one the text is a wall clock whose
-zone ``estimate_zones`` supplies per group (here: folder): a declared zone is
-taken as it is, and for groups without a usable declaration the zone (an IANA
-offset history) with the fewest violations is chosen, where a violation is a
-message that would be sent after it was ingested, or a reply that would be sent
-before the message it answers.
+zone ``estimate_zones`` supplies per group (here: folder). For every candidate zone (an IANA
+offset history) it counts violations: messages that would be sent after they were ingested, and replies that would be sent
+before the message they answer. A declared zone is binding; groups without a
+usable declaration take the zone with the fewest violations, of equals the one that
+agrees with most zones written in the group's own messages.
 
 Defined results: a null, empty, unreadable or date-only text gives a null
 instant; a repeated hour the earlier instant; a skipped hour the instant
@@ -177,52 +177,77 @@ def _reply_depth(subject: Column) -> Column:
     return F.length(F.regexp_replace(prefix, "[^:]", ""))
 
 
-def estimate_zones(parsed: DataFrame, groups: DataFrame, group: str = "folder", declared: str = "home_zone") -> DataFrame:
-    """One zone per group: ``group``, ``zone``, ``violations``, ``estimated``.
+def zone_violations(parsed: DataFrame, groups: DataFrame, group: str = "folder", declared: str = "home_zone") -> DataFrame:
+    """``group``, ``zone``, ``violations``, ``apart``: for every group and candidate zone how often the order of events would be broken.
 
     ``parsed`` needs the group column, ``wall``, ``fixed`` (instant of texts with
-    a written zone, else null), ``ingested_at`` and ``subject``. Candidate zones
-    are those that any group declares, and UTC: a set as small as the zone list.
+    a written zone, else null), ``ingested_at`` and ``subject``. Candidates (offset histories)
+    are the zones that any group declares, and UTC: a set as small as the zone list.
     Local times are aligned with the ingestion time and with the order of a
-    thread (a reply must not precede the latest fixed instant one level up);
-    both counts are aggregated before anything is joined.
+    thread (a reply must not precede the latest fixed instant one level up, nor follow the first one a level down);
+    the counts are aggregated before anything is joined. ``apart`` counts the group's texts with a written zone
+    whose wall clock is not the candidate's at that instant.
     """
     regions = _known_regions(parsed)
-    zone = F.when(F.col(declared).isin(regions), F.col(declared))
-    known = groups.select(group, zone.alias("_declared")).groupBy(group).agg(F.min("_declared").alias("_declared"))
     # names of zones: no more than the zone data has, about 600
-    candidates = sorted({"UTC"} | {r._declared for r in known.where("_declared is not null").select("_declared").distinct().collect()})
+    named = groups.select(F.when(F.col(declared).isin(regions), F.col(declared)).alias("_z")).where("_z is not null").distinct().collect()
+    candidates = sorted({"UTC"} | {r._z for r in named})
     keyed = parsed.select(group, "wall", "fixed", "ingested_at", _thread_key(F.col("subject")).alias("_thread"), _reply_depth(F.col("subject")).alias("_depth"))
-    # a declared zone is binding, so evidence is only gathered for groups that declare none
-    unknown = keyed.join(known.where("_declared is not null"), group, "left_anti").where("wall is not null and fixed is null")
-    parents = keyed.where("fixed is not null and _thread <> ''").groupBy(group, "_thread", (F.col("_depth") + 1).alias("_depth")).agg(F.min("fixed").alias("_parent"))
-    tried = unknown.join(parents, [group, "_thread", "_depth"], "left").withColumn("zone", F.explode(F.array(*(F.lit(z) for z in candidates))))
+    known = keyed.where("fixed is not null and _thread <> ''")
+    parents = known.groupBy(group, "_thread", (F.col("_depth") + 1).alias("_depth")).agg(F.min("fixed").alias("_parent"))
+    answers = known.where("_depth > 0").groupBy(group, "_thread", (F.col("_depth") - 1).alias("_depth")).agg(F.max("fixed").alias("_answer"))
+    local = keyed.where("wall is not null").join(parents, [group, "_thread", "_depth"], "left").join(answers, [group, "_thread", "_depth"], "left")
+    tried = local.withColumn("zone", F.explode(F.array(*(F.lit(z) for z in candidates))))
     instant = F.convert_timezone(F.col("zone"), F.lit("UTC"), F.col("wall"))
-    late = (instant > F.col("ingested_at").cast("timestamp_ntz")).cast("int")
-    early = (instant < F.col("_parent")).cast("int")
-    scores = tried.groupBy(group, "zone").agg(F.sum(F.coalesce(late, F.lit(0)) + F.coalesce(early, F.lit(0))).alias("violations"))
-    # ties go to UTC, then to the first name
-    best = scores.groupBy(group).agg(F.min(F.struct("violations", (F.col("zone") != "UTC").alias("_other"), "zone")).alias("_best"))
-    chosen = best.select(group, F.col("_best.zone").alias("zone"), F.col("_best.violations").alias("violations"), F.lit(True).alias("estimated"))
-    return known.where("_declared is not null").select(group, F.col("_declared").alias("zone"), F.lit(0).cast("bigint").alias("violations"), F.lit(False).alias("estimated")).unionByName(chosen)
+    broken = (instant > F.col("ingested_at").cast("timestamp_ntz"), instant < F.col("_parent"), instant > F.col("_answer"))
+    count = sum((F.coalesce(b.cast("int"), F.lit(0)) for b in broken), F.lit(0))
+    free = F.col("fixed").isNull()
+    return tried.groupBy(group, "zone").agg(F.sum(F.when(free, count).otherwise(0)).alias("violations"), F.count_if(~free & (instant != F.col("fixed"))).alias("apart"))
+
+
+def estimate_zones(parsed: DataFrame, groups: DataFrame, group: str = "folder", declared: str = "home_zone") -> DataFrame:
+    """One zone per group: ``group``, ``zone``, ``violations``, ``best``, ``best_violations``, ``estimated``.
+
+    ``best`` is the candidate with the fewest violations, of equals the one that agrees with most written zones, then UTC, then the first name. A declared zone
+    is binding and taken as it is, with its own violations beside it; ``estimated`` groups declare none and take ``best``.
+    """
+    scores = zone_violations(parsed, groups, group, declared)
+    known = groups.select(group, F.when(F.col(declared).isin(_known_regions(parsed)), F.col(declared)).alias("_z")).groupBy(group).agg(F.min("_z").alias("_declared"))
+    rated = scores.groupBy(group).agg(F.min(F.struct("violations", "apart", (F.col("zone") != "UTC").alias("_other"), "zone")).alias("_best"))
+    own = scores.join(known, group).where(F.col("zone") == F.col("_declared")).select(group, F.col("violations").alias("_own"))
+    both = known.join(rated, group, "full").join(own, group, "left")
+    estimated = F.col("_declared").isNull()
+    return both.select(
+        group, F.coalesce("_declared", "_best.zone").alias("zone"), F.when(estimated, F.col("_best.violations")).otherwise(F.coalesce("_own", F.lit(0))).alias("violations"),
+        F.col("_best.zone").alias("best"), F.col("_best.violations").alias("best_violations"), estimated.alias("estimated"),
+    )
 
 
 def normalise_timestamps(messages: DataFrame, folders: DataFrame) -> DataFrame:
     """``msg_id``, ``instant`` (timestamp_ntz in UTC), ``instant_utc`` (text), ``basis``; one row per distinct key.
 
-    ``basis`` is ``epoch``, ``offset``, ``region``, ``home`` or null. Empty inputs
+    ``basis`` is ``epoch``, ``offset``, ``region``, ``home`` (the declared zone), ``estimated`` or null. Empty inputs
     give no rows; a message in an unknown folder uses the estimated zone.
     """
+    read = _read(messages, folders)
+    zones = estimate_zones(read, folders)
+    instant = F.coalesce(F.col("fixed"), F.convert_timezone(F.col("zone"), F.lit("UTC"), F.col("wall")))
+    basis = F.when(F.col("epoch").isNotNull(), "epoch").when(F.col("wall").isNull(), None).when(F.col("offset").isNotNull(), "offset").when(F.col("fixed").isNotNull(), "region").when(F.col("estimated"), "estimated").otherwise("home")
+    out = read.join(zones.select("folder", "zone", "estimated"), "folder", "left")
+    return out.select("msg_id", F.date_trunc("second", instant).cast("timestamp_ntz").alias("instant"), F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("instant_utc"), basis.alias("basis"))
+
+
+def zone_report(messages: DataFrame, folders: DataFrame) -> DataFrame:
+    """The rows of :func:`estimate_zones` for the folders of messages."""
+    return estimate_zones(_read(messages, folders), folders)
+
+
+def _read(messages: DataFrame, folders: DataFrame) -> DataFrame:
+    """Each message once, its time text read; written once, since it is read twice."""
     once = messages.groupBy("msg_id").agg(F.min(F.struct("date_str", "folder", "subject", "ingested_at")).alias("_m")).select("msg_id", "_m.*")
     order = folders.groupBy("folder").agg(F.max("day_first").alias("day_first"))
-    read = once.join(F.broadcast(order), "folder", "left")
-    read = parse_timestamp(read)
+    read = parse_timestamp(once.join(order, "folder", "left"))
     region = F.when(F.col("region").isin(_known_regions(messages)), F.col("region"))
     fixed = F.coalesce(F.col("epoch"), _shift(F.col("wall"), F.col("offset")), F.convert_timezone(region, F.lit("UTC"), F.col("wall")))
-    # read twice, and filters must not be pushed into (and so repeat) the parsing
-    read = materialize(read.withColumn("fixed", fixed), "timestamps")
-    zones = estimate_zones(read, folders)
-    instant = F.coalesce(F.col("fixed"), F.convert_timezone(F.col("zone"), F.lit("UTC"), F.col("wall")))
-    basis = F.when(F.col("epoch").isNotNull(), "epoch").when(F.col("wall").isNull(), None).when(F.col("offset").isNotNull(), "offset").when(F.col("fixed").isNotNull(), "region").otherwise("home")
-    out = read.join(F.broadcast(zones.select("folder", "zone")), "folder", "left")
-    return out.select("msg_id", F.date_trunc("second", instant).cast("timestamp_ntz").alias("instant"), F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("instant_utc"), basis.alias("basis"))
+    # filters must not be pushed into (and so repeat) the parsing
+    return materialize(read.withColumn("fixed", fixed), "timestamps")

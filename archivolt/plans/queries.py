@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from archivolt.functions import similarity, text
-from archivolt.functions.dates import parse_date
+from archivolt.functions.dates import parse_date, sent_date
 from archivolt.functions.fingerprints import with_fingerprints
 from archivolt.operators import conversations as conv
 from archivolt.operators import graph, joins, links, render, search, threads, timestamps
@@ -94,6 +94,11 @@ def result_file_keywords(spark: SparkSession, d: str) -> DataFrame:
     return search.file_keywords(table(spark, d, "search_results").where("keyword is not null"))
 
 
+@query
+def summary_rows(spark: SparkSession, d: str) -> DataFrame:
+    return search.summary_rows(table(spark, d, "search_results").where("keyword is not null"))
+
+
 @query
 def recent_matches_topk(spark: SparkSession, d: str) -> DataFrame:
     return search.recent_matches(table(spark, d, "search_results").select("hit_id", "filename", "keyword", "found_at"), [_col("found_at"), _col("hit_id")])
@@ -275,6 +280,24 @@ def thread_participants(spark: SparkSession, d: str) -> DataFrame:
     return threads.participants(threads.messages(table(spark, d, "documents").where("doc_type = 'email'"), parse_dates=False))
 
 
+@query
+def main_body(spark: SparkSession, d: str) -> DataFrame:
+    """What stands above the quote boundary of every document."""
+    return threads.messages(table(spark, d, "documents"), parse_dates=False).where("msg_idx = 0").select("filename", "body")
+
+
+@query
+def quoted_message(spark: SparkSession, d: str) -> DataFrame:
+    """The first quoted message of every document that holds one."""
+    return threads.messages(table(spark, d, "documents"), parse_dates=False).where("msg_idx = 1").select("filename", "sender", "recipient", "date_str", "subject", "body")
+
+
+@query
+def name_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "documents")
+    return threads.name_occurrences(pages.select("filename", text.extract_emails(F.col("text")).alias("email_addresses"), text.extract_names(F.col("text")).alias("names")))
+
+
 @query
 def name_email_pairs(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "documents")
@@ -392,6 +415,23 @@ def message_numbering(spark: SparkSession, d: str) -> DataFrame:
     return conv.sort_messages(mail, "source_file", ["msg_id"]).select("source_file", "number", "msg_id")
 
 
+@query
+def sort_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Messages of a file in order of time; a missing date is read from the date text."""
+    mail = table(spark, d, "messages").select("msg_id", "source_file", "date_ts", "date_str").distinct()
+    dated = mail.withColumn("date", sent_date(F.col("date_ts").cast("timestamp_ntz"), F.col("date_str")))
+    return conv.sort_messages(dated, "source_file", ["msg_id"]).select("source_file", "number", "msg_id", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("wall"))
+
+
+@query
+def dedup_containment(spark: SparkSession, d: str) -> DataFrame:
+    """How many other messages of its subject hold a message as a part."""
+    mail = table(spark, d, "messages").select("msg_id", text.subject_norm(F.col("subject")).alias("thread"), "body").where("thread is not null").distinct()
+    first = materialize(conv.dedup_exact(mail, "thread", ["msg_id"]).select("thread", "norm", "msg_id"), "bodies")
+    held = conv.contained_pairs(first, "thread").groupBy("thread", F.col("a").alias("norm")).agg(F.count("*").alias("n_holders"))
+    return first.join(held, ["thread", "norm"]).select("thread", "msg_id", "n_holders")
+
+
 @query
 def conversation_subject(spark: SparkSession, d: str) -> DataFrame:
     return conv.conversation_subject(table(spark, d, "messages").select("msg_id", "source_file", "subject").distinct(), "source_file")
@@ -478,3 +518,9 @@ def p4_basis_counts(spark: SparkSession, d: str) -> DataFrame:
     """How many messages each kind of zone evidence decides."""
     out = timestamps.normalise_timestamps(table(spark, d, "messages"), table(spark, d, "folders"))
     return out.groupBy("basis").agg(F.count("*").alias("n"))
+
+
+@query
+def p4_zones(spark: SparkSession, d: str) -> DataFrame:
+    """Per folder the zone taken, and the zone that the order of events favours."""
+    return timestamps.zone_report(table(spark, d, "messages"), table(spark, d, "folders"))

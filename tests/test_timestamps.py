@@ -55,3 +55,18 @@ def test_zone_is_estimated_where_none_is_declared(spark, folders):
 
 def test_empty(spark, folders):
     assert normalise_timestamps(messages(spark, []), folders).count() == 0
+
+
+def test_written_zones_of_a_folder_decide_where_order_does_not(spark, folders):
+    late = datetime(2019, 1, 1)
+    rows = [(1, "Mon, 06 Jan 2014 12:00:00 -0500", "UNK", "a", late), (2, "Tue, 01 Jul 2014 12:00:00 -0400", "UNK", "b", late), (3, "Tue, 01 Jul 2014 12:00:00 +0200", "UNK", "c", late), (4, "2014-07-02 08:30:00", "UNK", "d", late)]
+    got = {r.msg_id: (r.instant_utc, r.basis) for r in normalise_timestamps(messages(spark, rows), folders).collect()}
+    assert got[4] == ("2014-07-02T12:30:00Z", "estimated") and got[1][1] == "offset"
+
+
+def test_declared_zone_is_kept_and_its_violations_shown(spark, folders):
+    from archivolt.operators.timestamps import zone_report
+
+    rows = [(1, "Mon, 06 Jan 2014 12:00:00 +0000", "PAR", "boats", datetime(2014, 2, 1)), (2, "2014-01-06 08:30:00", "PAR", "Re: boats", datetime(2014, 1, 6, 13, 40))]
+    got = next(r for r in zone_report(messages(spark, rows), folders).collect() if r.folder == "PAR")
+    assert (got.zone, got.violations, got.best, got.best_violations, got.estimated) == ("Europe/Paris", 1, "America/New_York", 0, False)
