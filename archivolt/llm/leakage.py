@@ -1,22 +1,24 @@
 """Evaluation texts inside a corpus: latent semantic retrieval, then exact checks.
 
 Texts are cut into passages of ``WINDOW`` words, one beginning every ``STEP``
-words, so any run of 12 words lies whole in one passage. The terms of a passage are its
+words, so any run of 12 words lies whole in one passage of the document and in one of the item. The terms of a passage are its
 pairs of neighbouring words; only pairs that occur in some item can point
 towards an item, so the term space is the items' own and its size is bounded by
-theirs. A run of 12 words brings 11 such pairs into one passage, and passages
-with fewer are left out: none of them can hold a run. Document frequencies
+theirs. A passage of fewer than ``LEAST`` such pairs is about nothing that the
+items say and is left out (a run of 12 words brings 11). Document frequencies
 count every document.
 
 The TF-IDF matrix of the passages is reduced by a distributed randomised SVD
 (Halko, Martinsson, Tropp, 2011): every partition multiplies its rows with a
-random matrix and with itself, the sums are added by block of terms, one QR and
+random matrix and with itself, the sums are added by block of terms in two steps, one QR and
 a small eigenproblem follow on the driver. Passages whose latent direction has
-a cosine of at least ``cosine`` with an item's passage are candidates. The
-longest common run of words then decides on the whole texts, and the longest
-common subsequence and the answer are reported beside it.
+a cosine of at least ``cosine`` with an item's passage are candidates, and nothing else is. Of these
+the longest common subsequence of the two passages decides: 12 words must follow each other in the same order,
+as they do in every run of 12. On the whole texts of what is left the longest
+run of consecutive words tells verbatim leaks; a leak without such a run is a
+paraphrase if two thirds of an item's passage stand there in order, or half of it and the item's answer near by.
 
-Items are taken in blocks of ``BLOCK``, the only thing that is broadcast.
+Items are taken in blocks of ``BLOCK_WORDS`` words, longer ones in overlapping parts: the only thing that is broadcast.
 
 Defined results: null and empty texts and items of fewer than ``run`` words match nothing;
 repeated rows of one id count once; extra columns are ignored.
@@ -35,11 +37,15 @@ from archivolt.llm.texts import words
 from archivolt.runtime import materialize
 
 WINDOW, STEP = 24, 12
-#: Items whose word pairs and latent passages are in memory at once.
-BLOCK = 4000
+#: Item pairs that a passage must have to be searched for.
+LEAST = 6
+#: Words of items whose pairs and latent passages are in memory at once.
+BLOCK_WORDS = 100_000
 #: Width of the random projection, and dimensions kept of it.
 SKETCH, DIMENSIONS = 160, 128
 _TERM_BLOCK = 2048
+#: Groups in which the sums of partitions are added first.
+_PARTS = 64
 
 
 class ItemTerms:
@@ -76,7 +82,7 @@ def windows(n: int) -> range:
 
 
 def _passages(documents: DataFrame, terms: ItemTerms, run: int) -> DataFrame:
-    """``id, pos, terms, df``: passages that could hold a run; a row with pos -1 carries document counts of terms."""
+    """``id, pos, terms, said, df``: passages with enough item pairs and their words; a row with pos -1 carries document counts of terms."""
     shared = documents.sparkSession.sparkContext.broadcast(terms)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,17 +98,17 @@ def _passages(documents: DataFrame, terms: ItemTerms, run: int) -> DataFrame:
                 hit = t >= 0
                 seen[np.unique(t[hit])] += 1
                 total = np.concatenate(([0], np.cumsum(hit)))
-                if total[-1] < run - 1:
+                if total[-1] < LEAST:
                     continue
                 for p in windows(len(ws)):
                     q = min(p + WINDOW - 1, len(t))
-                    if total[q] - total[p] >= run - 1:
-                        rows.append((i, p, np.unique(t[p:q][hit[p:q]]).tolist(), []))
-            yield pd.DataFrame(rows, columns=["id", "pos", "terms", "df"])
+                    if total[q] - total[p] >= LEAST:
+                        rows.append((i, p, np.unique(t[p:q][hit[p:q]]).tolist(), " ".join(ws[p : p + WINDOW]), []))
+            yield pd.DataFrame(rows, columns=["id", "pos", "terms", "said", "df"])
         some = np.flatnonzero(seen)
-        yield pd.DataFrame({"id": [-1], "pos": [-1], "terms": [some.tolist()], "df": [seen[some].tolist()]})
+        yield pd.DataFrame({"id": [-1], "pos": [-1], "terms": [some.tolist()], "said": [""], "df": [seen[some].tolist()]})
 
-    return documents.select("id", "text").mapInPandas(cut, "id bigint, pos int, terms array<int>, df array<bigint>")
+    return documents.select("id", "text").mapInPandas(cut, "id bigint, pos int, terms array<int>, said string, df array<bigint>")
 
 
 def _project(rows: list[np.ndarray], weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -139,13 +145,18 @@ def latent_basis(passages: DataFrame, weight: np.ndarray, item_rows: list[np.nda
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             outer([np.asarray(t, np.int32) for t in batch["terms"]], om, w, sums)
-        yield pd.DataFrame({"block": list(map(int, sums)), "m": [s.tobytes() for s in sums.values()]})
+        part = int(np.random.default_rng().integers(_PARTS))
+        yield pd.DataFrame({"block": list(map(int, sums)), "part": part, "m": [s.tobytes() for s in sums.values()]})
 
     def add(batch: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(m, np.float32) for m in batch["m"])
         return pd.DataFrame({"block": [int(batch["block"].iloc[0])], "m": [total.tobytes()]})
 
-    summed = passages.select("terms").mapInPandas(partial, "block int, m binary").groupBy("block").applyInPandas(add, "block int, m binary").collect()
+    def added(parts: DataFrame) -> list:
+        """The sums of every block: first of some partitions each, then of these sums, so no task meets all partitions."""
+        return parts.groupBy("block", "part").applyInPandas(add, "block int, m binary").groupBy("block").applyInPandas(add, "block int, m binary").collect()
+
+    summed = added(passages.select("terms").mapInPandas(partial, "block int, part int, m binary"))
     own: dict[int, np.ndarray] = {}
     outer(item_rows, omega, weight, own)
     y = np.zeros(((n // _TERM_BLOCK + 1) * _TERM_BLOCK, width), np.float32)
@@ -161,9 +172,9 @@ def latent_basis(passages: DataFrame, weight: np.ndarray, item_rows: list[np.nda
         for batch in batches:
             x = _project([np.asarray(t, np.int32) for t in batch["terms"]], w, b)
             total += x.T @ x
-        yield pd.DataFrame({"block": [0], "m": [total.astype(np.float32).tobytes()]})
+        yield pd.DataFrame({"block": [0], "part": [int(np.random.default_rng().integers(_PARTS))], "m": [total.astype(np.float32).tobytes()]})
 
-    grams = passages.select("terms").mapInPandas(gram, "block int, m binary").groupBy("block").applyInPandas(add, "block int, m binary").collect()
+    grams = added(passages.select("terms").mapInPandas(gram, "block int, part int, m binary"))
     x = _project(item_rows, weight, q)
     total = x.T @ x + sum(np.frombuffer(r.m, np.float32).reshape(q.shape[1], q.shape[1]) for r in grams)
     values, vectors = np.linalg.eigh(total)
@@ -174,49 +185,42 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def _candidates(documents: DataFrame, items: list[tuple[int, list[str]]], run: int, cosine: float) -> DataFrame:
-    """``item_id, id`` of the documents with a passage near a passage of the item."""
+def _candidates(documents: DataFrame, total: int, items: list[tuple[int, list[str]]], run: int, cosine: float) -> DataFrame:
+    """``item_id, id, common, needed`` of the documents with a passage near one of the item: the longest common subsequence of two near passages and the words of the item's."""
     spark = documents.sparkSession
     terms = ItemTerms([ws for _, ws in items])
     passages = materialize(_passages(documents, terms, run), "passages")
     counts = passages.where("pos = -1").select(F.explode(F.arrays_zip("terms", "df")).alias("z")).groupBy(F.col("z.terms").alias("t")).agg(F.sum("z.df").alias("df")).toPandas()
-    total = documents.count()
     df = np.zeros(max(1, len(terms.pairs)))
     df[counts["t"].to_numpy(int)] = counts["df"].to_numpy()
     weight = np.log((2.0 + total) / (1.0 + df)).astype(np.float32)
     passages = passages.where("pos >= 0")
-    owners, rows, needed = [], [], []
+    owners, rows, said = [], [], []
     for item, ws in items:
         t = terms.terms(ws)
         for p in windows(len(ws)):
-            part = t[p : min(p + WINDOW - 1, len(t))]
             owners.append(item)
-            rows.append(np.unique(part))
-            # a run inside has run - 1 pairs, fewer different ones if pairs are repeated
-            needed.append(run - 1 - (len(part) - len(rows[-1])))
+            rows.append(np.unique(t[p : min(p + WINDOW - 1, len(t))]))
+            said.append(ws[p : p + WINDOW])
     basis = latent_basis(passages, weight, rows)
-    holders = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
-    order = np.argsort(flat, kind="stable")
-    first = np.searchsorted(flat[order], np.arange(len(weight) + 1))
-    shared = spark.sparkContext.broadcast((weight, basis, np.array(owners), _unit(_project(rows, weight, basis)), np.array(needed), holders[order], first))
+    shared = spark.sparkContext.broadcast((weight, basis, np.array(owners), _unit(_project(rows, weight, basis)), said))
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, b, owner, latent, need, holder, at = shared.value
+        w, b, owner, latent, words_of = shared.value
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.iloc[start : start + 256]
                 rows = [np.asarray(t, np.int32) for t in part["terms"]]
-                near = _unit(_project(rows, w, b)) @ latent.T >= cosine
-                for k, t in enumerate(rows):
-                    # of the near passages those with enough common pairs: an exact check, no part of the search
-                    common = np.bincount(np.concatenate([holder[at[x] : at[x + 1]] for x in t]), minlength=len(owner))
-                    near[k] &= common >= need
-                i, j = np.nonzero(near)
-                out = pd.DataFrame({"item_id": owner[j], "id": part["id"].to_numpy()[i]})
-                yield out.drop_duplicates()
+                i, j = np.nonzero(_unit(_project(rows, w, b)) @ latent.T >= cosine)
+                texts = part["said"].tolist()
+                heard = {k: texts[k].split(" ") for k in set(i.tolist())}
+                common = np.array([common_subsequence(words_of[q], heard[k]) for k, q in zip(i.tolist(), j.tolist(), strict=True)], np.int32)
+                keep = common >= run
+                size = np.array([len(words_of[q]) for q in j[keep]], np.int32)
+                yield pd.DataFrame({"item_id": owner[j[keep]], "id": part["id"].to_numpy()[i[keep]], "common": common[keep], "needed": size})
 
-    return passages.select("id", "terms").mapInPandas(near, "item_id bigint, id bigint").distinct()
+    found = passages.select("id", "terms", "said").mapInPandas(near, "item_id bigint, id bigint, common int, needed int")
+    return found.groupBy("item_id", "id").agg(F.max(F.struct((F.col("common") / F.col("needed")).alias("share"), "common", "needed")).alias("m")).select("item_id", "id", "m.common", "m.needed")
 
 
 def longest_run(a: list[str], b: list[str]) -> int:
@@ -247,31 +251,40 @@ def common_subsequence(a: list[str], b: list[str]) -> int:
     return len(a) - v.bit_count()
 
 
+def _blocks(items: Iterator, run: int) -> Iterator[list[tuple[int, list[str]]]]:
+    """Items as (id, words), in blocks of at most ``BLOCK_WORDS`` words; longer items in parts that overlap by a passage."""
+    block: list[tuple[int, list[str]]] = []
+    size = 0
+    for row in items:
+        ws = words(row.item_text)
+        for at in range(0, max(1, len(ws) - WINDOW), BLOCK_WORDS - WINDOW):
+            part = ws[at : at + BLOCK_WORDS]
+            if len(part) < run:
+                continue
+            if size + len(part) > BLOCK_WORDS and block:
+                yield block
+                block, size = [], 0
+            block.append((row.item_id, part))
+            size += len(part)
+    if block:
+        yield block
+
+
 def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12, cosine: float = 0.3) -> DataFrame:
-    """``item_id, id, longest_run, subsequence_share, answer_present`` of the documents that hold a run of an item.
+    """``item_id, id, longest_run, passage_share, subsequence_share, answer_present, kind`` of the documents that hold an item or part of it.
 
-    ``documents`` has ``id, text``; ``items`` has ``item_id, item_text, answer``. The item set is read
-    to the driver in blocks; documents never are.
+    ``documents`` has ``id, text``; ``items`` has ``item_id, item_text, answer``. ``kind`` is ``verbatim`` from a run of ``run``
+    consecutive words on, else ``paraphrase``; ``passage_share`` is the part of the best passage of the item that
+    stands in a passage of the document in the same order. The item set is read to the driver in blocks; documents never are.
     """
     asked = items.groupBy("item_id").agg(F.min(F.struct("item_text", "answer")).alias("i")).select("item_id", "i.*").orderBy("item_id")
-    found = None
-    block: list = []
     spark = documents.sparkSession
-
-    def one(rows: list) -> DataFrame:
-        held = [(r.item_id, words(r.item_text)) for r in rows]
-        held = [(i, ws) for i, ws in held if len(ws) >= run]
-        if not held:
-            return spark.createDataFrame([], "item_id bigint, id bigint")
-        return _candidates(documents, held, run, cosine)
-
-    for row in asked.toLocalIterator():
-        block.append(row)
-        if len(block) == BLOCK:
-            found = one(block) if found is None else found.unionByName(one(block))
-            block = []
-    if block or found is None:
-        found = one(block) if found is None else found.unionByName(one(block))
+    total = documents.count()
+    parts = [_candidates(documents, total, block, run, cosine) for block in _blocks(asked.toLocalIterator(), run)]
+    found = spark.createDataFrame([], "item_id bigint, id bigint, common int, needed int")
+    for part in parts:
+        found = found.unionByName(part)
+    found = found.groupBy("item_id", "id").agg(F.max(F.struct((F.col("common") / F.col("needed")).alias("share"), "common", "needed")).alias("m")).select("item_id", "id", F.col("m.share").alias("passage_share"))
     found = materialize(found, "near")
     texts = documents.select("id", "text").join(found.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
     joined = found.join(texts, "id").join(asked, "item_id")
@@ -279,13 +292,14 @@ def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12, cosine:
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for item, i, text, asked_text, answer in zip(batch["item_id"], batch["id"], batch["text"], batch["item_text"], batch["answer"], strict=True):
+            for item, i, share, text, asked_text, answer in zip(batch["item_id"], batch["id"], batch["passage_share"], batch["text"], batch["item_text"], batch["answer"], strict=True):
                 a, b = words(asked_text), words(text)
                 n = longest_run(a, b)
-                if n >= run:
-                    ans = words(answer)
-                    present = bool(ans) and any(b[k : k + len(ans)] == ans for k in range(len(b) - len(ans) + 1))
-                    rows.append((item, i, n, common_subsequence(a, b) / len(a), present))
-            yield pd.DataFrame(rows, columns=["item_id", "id", "longest_run", "subsequence_share", "answer_present"])
-
-    return joined.select("item_id", "id", "text", "item_text", "answer").mapInPandas(check, "item_id bigint, id bigint, longest_run int, subsequence_share double, answer_present boolean").distinct()
+                ans = words(answer)
+                present = bool(ans) and any(b[k : k + len(ans)] == ans for k in range(len(b) - len(ans) + 1))
+                if n >= run or share >= 2 / 3 or (share >= 0.5 and present):
+                    rows.append((item, i, n, share, common_subsequence(a, b) / len(a), present, "verbatim" if n >= run else "paraphrase"))
+            yield pd.DataFrame(rows, columns=["item_id", "id", "longest_run", "passage_share", "subsequence_share", "answer_present", "kind"])
+
+    kinds = "item_id bigint, id bigint, longest_run int, passage_share double, subsequence_share double, answer_present boolean, kind string"
+    return joined.select("item_id", "id", "passage_share", "text", "item_text", "answer").mapInPandas(check, kinds).distinct()

@@ -89,7 +89,7 @@ def p6_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaked_items(_documents(spark, d), table(spark, d, "eval_items")).select("item_id", F.col("id").alias("doc_id"))
+    return leakage.leaked_items(_documents(spark, d), table(spark, d, "eval_items")).where("kind = 'verbatim'").select("item_id", F.col("id").alias("doc_id"))
 
 
 @query
