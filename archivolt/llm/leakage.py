@@ -37,8 +37,8 @@ from archivolt.llm.texts import words
 from archivolt.runtime import materialize
 
 WINDOW, STEP = 24, 12
-#: Item pairs that a passage must have to be searched for.
-LEAST = 6
+#: Item pairs, of 23, that a passage must have to be searched for: a third.
+LEAST = 8
 #: Words of items whose pairs and latent passages are in memory at once.
 BLOCK_WORDS = 100_000
 #: Width of the random projection, and dimensions kept of it.
@@ -207,6 +207,7 @@ def _candidates(documents: DataFrame, total: int, items: list[tuple[int, list[st
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w, b, owner, latent, words_of = shared.value
+        masks = [_masks(ws) for ws in words_of]
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.iloc[start : start + 256]
@@ -214,7 +215,7 @@ def _candidates(documents: DataFrame, total: int, items: list[tuple[int, list[st
                 i, j = np.nonzero(_unit(_project(rows, w, b)) @ latent.T >= cosine)
                 texts = part["said"].tolist()
                 heard = {k: texts[k].split(" ") for k in set(i.tolist())}
-                common = np.array([common_subsequence(words_of[q], heard[k]) for k, q in zip(i.tolist(), j.tolist(), strict=True)], np.int32)
+                common = np.array([_in_order(masks[q], heard[k], run) for k, q in zip(i.tolist(), j.tolist(), strict=True)], np.int32)
                 keep = common >= run
                 size = np.array([len(words_of[q]) for q in j[keep]], np.int32)
                 yield pd.DataFrame({"item_id": owner[j[keep]], "id": part["id"].to_numpy()[i[keep]], "common": common[keep], "needed": size})
@@ -238,17 +239,30 @@ def longest_run(a: list[str], b: list[str]) -> int:
     return best
 
 
-def common_subsequence(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence of words (bit-parallel)."""
+def _masks(a: list[str]) -> tuple[dict[str, int], int]:
+    """The places of every word as bits, and all places."""
     masks: dict[str, int] = {}
     for i, w in enumerate(a):
         masks[w] = masks.get(w, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return masks, (1 << len(a)) - 1
+
+
+def _in_order(places: tuple[dict[str, int], int], b: list[str], least: int = 0) -> int:
+    """Longest common subsequence with the text of ``places``, 0 if it must be below ``least`` (bit-parallel)."""
+    masks, full = places
+    hits = [m for w in b if (m := masks.get(w))]
+    if len(hits) < least:
+        return 0
     v = full
-    for w in b:
-        u = v & masks.get(w, 0)
+    for m in hits:
+        u = v & m
         v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
+    return full.bit_count() - v.bit_count()
+
+
+def common_subsequence(a: list[str], b: list[str]) -> int:
+    """Length of the longest common subsequence of words."""
+    return _in_order(_masks(a), b)
 
 
 def _blocks(items: Iterator, run: int) -> Iterator[list[tuple[int, list[str]]]]:
