@@ -5,8 +5,9 @@ stem and kind of an organisation). Padded q-grams of the family word or stem are
 signed with MinHash and banded; the number of bands follows from the collision
 curve, so that a pair of the lowest wanted q-gram similarity meets with the
 wanted recall. Pairs that meet are verified with a Monge-Elkan similarity, in
-which every part of the shorter name must find its counterpart: equal, one or
-two slips apart, a short form of it, or its initial. Stars are then built around
+which family and given part must find their counterpart: equal, one or
+two slips apart, a short form of it, or its initial. Slips in given names are set right first, by
+keys over all given names of the corpus, however rare (see :func:`corrected_words`). Stars are then built around
 the most telling and most frequent spellings; a spelling that could belong to
 several persons (an initial, a short form) joins the one whose mail address it
 shares, else the clearly more frequent one, else none.
@@ -111,22 +112,79 @@ def read_name(name: str) -> tuple[str, str, str]:
     return "p", parts[-1][1], parts[0][1]
 
 
-def given_reading(given: str, common: dict[str, int]) -> tuple[str, list[str]]:
-    """(level, names it may stand for): ``full``, ``short`` or ``initial``; slips are set right against common given names."""
+def given_reading(given: str) -> tuple[str, list[str]]:
+    """(level, names it may stand for): ``full``, ``short`` or ``initial``."""
     if len(given) == 1:
         return "initial", [given]
-    if given in SHORT_FORMS:
-        return "full", [given]
-    if given in _FULL_OF:
+    if given not in SHORT_FORMS and given in _FULL_OF:
         return "short", _FULL_OF[given]
-    near = [(slips(given, g, 2 if len(given) > 6 else 1), -n, g) for g, n in common.items() if abs(len(g) - len(given)) < 3 and n > 3 * common.get(given, 0)]
-    near = [x for x in near if x[0] <= (2 if len(given) > 6 else 1)]
-    if near and common.get(given, 0) < -min(near)[1]:
-        g = min(near)[2]
-        return given_reading(g, {}) if g in _FULL_OF or g in SHORT_FORMS else ("full", [g])
     return "full", [given]
 
 
+def slips_allowed(word: str) -> int:
+    return 2 if len(word) > 6 else 1
+
+
+def _slip_keys(word: str) -> set[str]:
+    """Keys of which two words share one if they are as near as either allows.
+
+    What is left after taking out one or two letters (Garbe's symmetric deletion); of words beyond 27 letters also fifths
+    with their places, as two slips (at most four letters touched) leave a fifth whole and at most two places away.
+    """
+    out = set()
+    if len(word) <= 30:
+        out = {word} | {word[:i] + word[i + 1 :] for i in range(len(word))}
+        if len(word) > 4:
+            out |= {w[:i] + w[i + 1 :] for w in tuple(out) if len(w) == len(word) - 1 for i in range(len(w))}
+    if len(word) > 27:
+        cuts = [len(word) * k // 5 for k in range(6)]
+        for k in range(5):
+            out.add(f"{k} {word[cuts[k] : cuts[k + 1]]}")
+            # the fifths of words up to two letters shorter or longer, where they may stand in this one
+            for n in range(len(word) - 2, len(word) + 3):
+                lo, hi = n * k // 5, n * (k + 1) // 5
+                out |= {f"{k} {word[at : at + hi - lo]}" for at in range(max(0, lo - 2), min(lo + 2, len(word) - (hi - lo)) + 1)}
+    return out
+
+
+def corrected_words(words: DataFrame) -> DataFrame:
+    """``rest, right``: given words that are slips of more frequent ones (``words`` has ``rest, n``, each once).
+
+    A word is a slip of the nearest word that is used more than three times as often; a word used once or twice also of
+    any word used more often, or as often and later in the alphabet. Slips of slips lead to the last one. All words take part, whatever their
+    number: they meet by keys, and nothing is collected.
+    """
+    named = sorted(set(SHORT_FORMS) | set(_FULL_OF))
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(w, int(n), k) for w, n in zip(batch["rest"], batch["n"], strict=True) for k in sorted(_slip_keys(w))]
+            yield pd.DataFrame(rows, columns=["rest", "n", "key"])
+
+    keyed = materialize(words.where("length(rest) > 1").mapInPandas(keys, "rest string, n bigint, key string"), "slipkeys")
+    own, other = keyed.where(~F.col("rest").isin(named)), keyed.select("key", F.col("rest").alias("right"), F.col("n").alias("m"))
+    rarer = (F.col("m") > 3 * F.col("n")) | ((F.col("n") <= 2) & (F.struct("m", "right") > F.struct("n", "rest")))
+    met = own.join(other, "key").where((F.col("rest") != F.col("right")) & rarer).select("rest", "right", "m").distinct()
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            d = [slips(a, b, slips_allowed(a)) for a, b in zip(batch["rest"], batch["right"], strict=True)]
+            out = batch.assign(d=d)
+            yield out[[x <= slips_allowed(a) for x, a in zip(d, batch["rest"], strict=True)]]
+
+    best = met.mapInPandas(near, "rest string, right string, m bigint, d int").groupBy("rest").agg(F.min_by("right", F.struct("d", (-F.col("m")).alias("m"), "right")).alias("right"))
+    best = materialize(best, "slips")
+    while True:  # each step goes to a more frequent word, so this ends
+        nxt = best.join(best.select(F.col("rest").alias("right"), F.col("right").alias("on")), "right", "left")
+        new = materialize(nxt.select("rest", F.coalesce("on", "right").alias("right"), F.col("on").isNotNull().alias("moved")), "slips")
+        moved = new.where("moved").limit(1).count()
+        discard(best)
+        best = new.select("rest", "right")
+        best._archivolt_path = new._archivolt_path
+        if not moved:
+            return best
+
+
 def monge_elkan(head_a: str, head_b: str, given_a: list[str], level_a: str, given_b: list[str], level_b: str) -> float:
     """Mean of the best counterparts of the parts, 0 if any part has none."""
     n = slips(head_a, head_b, 2)
@@ -172,28 +230,16 @@ def spellings(documents: DataFrame, messages: DataFrame) -> DataFrame:
 def read_spellings(names: DataFrame) -> DataFrame:
     """``names`` with ``kind, head, level, given`` and band keys; spellings that are neither person nor organisation have kind ``-``."""
     first = materialize(_parsed(names), "spellings")
-    frequent = first.where("kind = 'p' and length(rest) > 2").groupBy("rest").agg(F.sum("n").alias("n"))
-    total = frequent.agg(F.sum("n")).first()[0] or 0
-    # given names with at least a ten-thousandth of all uses: ten thousand at most
-    common = {r.rest: int(r.n) for r in frequent.where(F.col("n") >= max(3, int(total * 1e-4))).collect()}
+    used = first.where("kind = 'p' and length(rest) > 1").groupBy("rest").agg(F.sum("n").alias("n"))
+    right = corrected_words(used)
+    known = first.join(right, "rest", "left").withColumn("rest", F.when(F.col("kind") == "p", F.coalesce("right", "rest")).otherwise(F.col("rest")))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[str, tuple[str, list[str]]] = {}
         for batch in batches:
-            level, given = [], []
-            for k, rest in zip(batch["kind"], batch["rest"], strict=True):
-                if k == "p":
-                    got = memo.get(rest)
-                    if got is None:
-                        got = memo[rest] = given_reading(rest, common)
-                    level.append(got[0])
-                    given.append(list(got[1]))
-                else:
-                    level.append("full")
-                    given.append([rest])
-            yield batch[["name", "n", "addresses", "kind", "head"]].assign(level=level, given=given)
-
-    return first.mapInPandas(read, "name string, n bigint, addresses array<string>, kind string, head string, level string, given array<string>")
+            got = [given_reading(rest) if k == "p" else ("full", [rest]) for k, rest in zip(batch["kind"], batch["rest"], strict=True)]
+            yield batch[["name", "n", "addresses", "kind", "head"]].assign(level=[g[0] for g in got], given=[list(g[1]) for g in got])
+
+    return known.select(first.columns).mapInPandas(read, "name string, n bigint, addresses array<string>, kind string, head string, level string, given array<string>")
 
 
 def _parsed(names: DataFrame) -> DataFrame:
