@@ -34,10 +34,10 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_groups(records(spark, d))
 
 
-def _scanned(spark: SparkSession, d: str) -> tuple[DataFrame, scanfix.Editor]:
+def _scanned(spark: SparkSession, d: str) -> tuple[DataFrame, scanfix.Editor, DataFrame | None]:
     documents = table(spark, d, "documents")
-    editor = scanfix.trained_editor(documents.select(F.col("doc_id").alias("id"), "text"), table(spark, d, "clean_samples"))
-    return scanfix.scanned_records(documents, table(spark, d, "messages"), table(spark, d, "search_results")), editor
+    editor, rest = scanfix.trained_editor(documents.select(F.col("doc_id").alias("id"), "text"), table(spark, d, "clean_samples"))
+    return scanfix.scanned_records(documents, table(spark, d, "messages"), table(spark, d, "search_results")), editor, rest
 
 
 @query

@@ -6,12 +6,13 @@ short run of characters); at a line end it may join two halves with or without
 the hyphen; and a line by itself it may keep or take out as page furniture. It is
 trained here on a bounded sample of scanned documents whose typed text is known
 (``clean_samples``), aligned word by word, and on the same words with one
-confusion put in. What the rest of the corpus holds enters as a feature: how
+confusion put in. The edits are the usual confusions of scanners and those that the samples show.
+What the rest of the corpus holds enters as a feature: how
 often the word as it stands, and as it would be, occurs in texts that were never
-scanned. Those counts cover all documents; only words with at least a millionth of all
-occurrences are handed to the workers, so at most a million words.
+scanned. Those counts cover all documents and every word that stands there three times. The ``CACHE_WORDS`` most frequent
+ones are broadcast; of further ones a record gets by a keyed join those that its own words ask for.
 
-Defined results: texts that aren't scanned (no page number as last line) are
+Defined results: texts that aren't scanned (no page number as last non-blank line) are
 returned as they are and have no findings; null and empty texts likewise. Words
 without a known spelling are kept unless a digit stands inside them. Repeated
 rows of one id count once.
@@ -26,10 +27,11 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from archivolt.llm.furniture import furniture_lines, is_header, page_number
+from archivolt.runtime import materialize
 
 # What scanners read, and what stands on the page.
 CONFUSIONS = (
@@ -45,8 +47,12 @@ _WORD_EDGE = re.compile(r"^[^\w]+|[^\w]+$")
 _PREFIX = re.compile(r"^(?:[>|] ?)+")
 _BROKEN = re.compile(rf"(?:^|(?<=\s))(\S*[^\W_])([{BREAKS}]) ?$")
 _BROKEN_INLINE = re.compile(rf"([^\W_][^\s{BREAKS}]*(?:-[^\s{BREAKS}]+)*)([{BREAKS}]) {{1,3}}(?=([^\W\d_]\S*))")
-#: A scanned text ends with a page number; the same forms as in ``furniture``, for the filter inside the scan.
-SCANNED_END = r"(?s)(?:^|\n)[ \t]*(?:[Pp]a[gq][eco] [\dOoIlSB]{1,5}(?: [oc0]f [\dOoIlSB]{1,5})?|- ?[\dOoIlSB]{1,5} ?-|\[[\dOoIlSB]{1,5}\]|p\. ?[\dOoIlSB]{1,5}/[\dOoIlSB]{1,5}|[ivxlc]+|\d{1,4})\s*$"
+#: Most words whose counts are broadcast.
+CACHE_WORDS = 1_000_000
+#: Words of the samples that must show an edit before it is tried everywhere.
+EDIT_EVIDENCE = 3
+#: The last non-blank line of a scanned text is a page number; the same forms as in ``furniture``, for the filter inside the scan.
+SCANNED_END = r"^[ \t]*(?:[Pp]a[gq][eco] [\dOoIlSB]{1,5}(?: [oc0]f [\dOoIlSB]{1,5})?|- ?[\dOoIlSB]{1,5} ?-|\[[\dOoIlSB]{1,5}\]|p\. ?[\dOoIlSB]{1,5}/[\dOoIlSB]{1,5}|[ivxlc]+|\d{1,4})[ \t]*$"
 
 
 class Perceptron:
@@ -88,6 +94,7 @@ class Editor:
 
     weights: dict[str, float]
     counts: dict[str, int]
+    pairs: tuple[tuple[str, str], ...] = CONFUSIONS
 
     def __post_init__(self) -> None:
         self._model = Perceptron()
@@ -101,7 +108,7 @@ class Editor:
     def edits(self, word: str) -> list[tuple[int, str, str, str]]:
         """(place, from, to, result) of every edit of a lower-case word."""
         out = []
-        for a, b in CONFUSIONS:
+        for a, b in self.pairs:
             i = word.find(a)
             while i >= 0:
                 out.append((i, a, b, word[:i] + b + word[i + len(a) :]))
@@ -158,7 +165,7 @@ class Editor:
                         break
                     got = nxt
                 # an unknown word may only become a known one, or lose the digits inside it
-                if got not in self.counts and (any(c.isdigit() for c in got) or not any(c.isdigit() for c in word)):
+                if not self.counts.get(got) and (any(c.isdigit() for c in got) or not any(c.isdigit() for c in word)):
                     got = word
             self._memo[word] = got
         return got
@@ -213,7 +220,7 @@ def take_apart(text: str, editor: Editor) -> Scan | None:
     score = editor._model.score
     for i, line in enumerate(lines):
         hint = hints.get(i)
-        if hint and score([*line_features(lines, i, hint), "line out"]) > 0 or hint in ("number", "stamp"):
+        if hint and score([*line_features(lines, i, hint), "line out"]) > 0:
             furniture.append(line.strip())
             gap = hint == "header"
             continue
@@ -239,7 +246,7 @@ def take_apart(text: str, editor: Editor) -> Scan | None:
         m = _BROKEN.search(body)
         if m and i < len(lines) - 1 and len(m[1]) > 0 and m[1][-1].isalpha():
             held = (m[1], m[2])
-            out.append(line[: len(line) - len(line.rstrip())] + (line.rstrip()[: -len(m[0].rstrip())] if m[0].rstrip() else line))
+            out.append(line.rstrip()[: -len(m[0].rstrip())])
         else:
             out.append(line)
     if held is not None and out:
@@ -250,7 +257,7 @@ def take_apart(text: str, editor: Editor) -> Scan | None:
 def _misread(token: str, editor: Editor, typed: frozenset[str] = frozenset()) -> str | None:
     """The right word of a misread one; words in ``typed`` (names as their writer spelt them) are right."""
     bare = _WORD_EDGE.sub("", token.lower())
-    if len(bare) < 3 or bare in editor.counts or bare in typed:
+    if len(bare) < 3 or bare in typed:
         return None
     fixed = editor.word(bare)
     return fixed if fixed != bare else None
@@ -301,7 +308,7 @@ def _context_findings(text: str, editor: Editor, typed: frozenset[str]) -> set[t
         if fixed:
             cut = open_left and k == 0 or open_right and k == len(tokens) - 1
             # a word at the cut may be a fragment; a long known word is taken for whole
-            if not cut or (len(fixed) >= 6 and fixed in editor.counts):
+            if not cut or (len(fixed) >= 6 and editor.counts.get(fixed)):
                 out.add(("char", fixed))
     return out
 
@@ -332,6 +339,26 @@ def repair(text: str | None, editor: Editor, names: Iterable[str] | None = None)
     return "\n".join(out).strip()
 
 
+def repair_context(text: str | None, editor: Editor, names: Iterable[str] | None = None) -> str | None:
+    """A cut context as typed: words broken over a blank made whole, misread words right; the cut ends stay."""
+    if not text:
+        return text
+    typed = _typed(names)
+    pieces, at = [], 0
+    for m in _BROKEN_INLINE.finditer(text):
+        if m.start() >= at:
+            pieces += [text[at : m.start()], editor.join(m[1], m[2], m[3])[0]]
+            at = m.end() + len(m[3])
+    whole = "".join([*pieces, text[at:]])
+    parts = re.split(r"(\s+)", whole)
+    for i, token in enumerate(parts):
+        cut = (i == 0 and text.startswith("...")) or (i == len(parts) - 1 and text.endswith("..."))
+        if token and not token.isspace() and not cut and (right := _misread(token, editor, typed)):
+            bare = _WORD_EDGE.sub("", token)
+            parts[i] = token.replace(bare, _with_case(bare, right), 1)
+    return "".join(parts)
+
+
 def _with_case(was: str, now: str) -> str:
     if was.isupper() and len(was) > 1:
         return now.upper()
@@ -375,6 +402,7 @@ def train(samples: list[tuple[str, str]], counts: dict[str, int], rounds: int =
                 a, b = fits[k % len(fits)]
                 words.append((w.replace(b, a, 1), w))
     words = sorted(set(words))
+    editor.pairs = (*CONFUSIONS, *learned_edits(words))
     for _ in range(rounds):
         for wrong, right in words:
             options = [None, *editor.edits(wrong)]
@@ -386,37 +414,101 @@ def train(samples: list[tuple[str, str]], counts: dict[str, int], rounds: int =
         for left, mark, right, glue in joins:
             options = [Editor.join_features(g, mark, counts.get(_WORD_EDGE.sub("", (left + g + right).lower()), 0)) for g in ("", "-")]
             model.learn(options, 0 if glue == "" else 1)
-    return Editor(model.averaged(), counts)
+    return Editor(model.averaged(), counts, editor.pairs)
 
 
-def common_words(documents: DataFrame, share: float = 1e-6) -> dict[str, int]:
-    """Words of never-scanned texts that make up at least ``share`` of all their words: at most 1 / share of them."""
-    typed = documents.where(F.col("text").isNotNull() & ~F.right("text", F.lit(40)).rlike(SCANNED_END))
-    words = typed.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}-]+")).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    from archivolt.runtime import materialize
+def learned_edits(words: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Edits of one place that ``EDIT_EVIDENCE`` different words of the samples show, beyond the usual ones."""
+    seen: dict[tuple[str, str], set[str]] = defaultdict(set)
+    for wrong, right in words:
+        if wrong == right or len(right) < 4:
+            continue
+        i = 0
+        while i < min(len(wrong), len(right)) and wrong[i] == right[i]:
+            i += 1
+        j = 0
+        while j < min(len(wrong), len(right)) - i and wrong[-1 - j] == right[-1 - j]:
+            j += 1
+        a, b = wrong[i : len(wrong) - j], right[i : len(right) - j]
+        if not a and i:  # a letter was lost: it is put in again behind the one before it
+            a, b = wrong[i - 1], wrong[i - 1] + b
+        if a and len(a) <= 2 and len(b) <= 2:
+            seen[a, b].add(right)
+    return sorted(e for e, shown in seen.items() if len(shown) >= EDIT_EVIDENCE and e not in CONFUSIONS)
+
+
+def last_line(text) -> Column:
+    """The last non-blank line of a text."""
+    return F.substring_index(F.regexp_replace(text, r"\s+$", ""), "\n", -1)
+
+
+def common_words(documents: DataFrame) -> tuple[dict[str, int], DataFrame | None]:
+    """Counts of the words that never-scanned texts hold three times: the ``CACHE_WORDS`` most frequent ones, and a table ``w, n`` of the rest if there is any."""
+    typed = documents.where(F.col("text").isNotNull() & ~last_line(F.col("text")).rlike(SCANNED_END))
+    split = typed.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{M}\p{N}-]+")).alias("w")).select(F.btrim("w", F.lit("-")).alias("w"))
+    words = split.groupBy("w").agg(F.count("*").alias("n"))
+    counted = materialize(words.where("n > 2 and length(w) > 1").where(~F.col("w").rlike(r"\p{N}")), "words")
+    # how many words occur how often: few rows, as counts repeat
+    least, held = 1, 0
+    for r in counted.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n")).toLocalIterator():
+        held += r.k
+        if held > CACHE_WORDS:
+            least = r.n + 1
+            break
+    rows = counted.where(F.col("n") >= least).toPandas()
+    return dict(zip(rows["w"], rows["n"].astype(int), strict=True)), counted.where(F.col("n") < least) if least > 1 else None
+
+
+class _Asked(dict):
+    """Counts that note which words were asked for and not there."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(counts)
+        self.asked: set[str] = set()
+
+    def get(self, word, default=None):
+        got = super().get(word)
+        if got is None:
+            self.asked.add(word)
+            return default
+        return got
 
-    counted = materialize(words.where("n > 2"), "words")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    rows = counted.where((F.col("n") >= max(3, int(total * share))) & (F.length("w") >= 2)).select("w", "n").toPandas()
-    out: dict[str, int] = defaultdict(int)
-    for w, n in zip(rows["w"], rows["n"], strict=True):
-        if w := w.strip("-"):
-            if not any(c.isdigit() for c in w):
-                out[w] += int(n)
-    return dict(out)
 
+def looked_up(scanned: DataFrame, editor: Editor, rest: DataFrame) -> DataFrame:
+    """``scanned`` with ``extra``: the counts from ``rest`` of the words that a record's own words may stand for."""
+    shared = scanned.sparkSession.sparkContext.broadcast(editor)
 
-def trained_editor(documents: DataFrame, samples: DataFrame) -> Editor:
-    """The editor for a corpus (``id, text``) from its labelled sample (``doc_id, clean_text``)."""
-    counts = common_words(documents)
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base = shared.value
+        for batch in batches:
+            rows = []
+            for rec, i, text, names in zip(batch["rec"], batch["id"], batch["text"], batch["names"], strict=True):
+                own = Editor(base.weights, counts := _Asked(base.counts), base.pairs)
+                # what is asked while no further word is known covers what is asked when some are
+                findings(rec, text, own, names)
+                rows.extend((rec, i, w) for w in counts.asked)
+            yield pd.DataFrame(rows, columns=["rec", "id", "w"])
+
+    asked = scanned.select("rec", "id", "text", "names").mapInPandas(ask, "rec string, id bigint, w string").distinct()
+    extra = asked.join(rest, "w").groupBy("rec", "id").agg(F.map_from_entries(F.collect_list(F.struct("w", "n"))).alias("extra"))
+    return scanned.join(extra, ["rec", "id"], "left")
+
+
+def trained_editor(documents: DataFrame, samples: DataFrame) -> tuple[Editor, DataFrame | None]:
+    """The editor for a corpus (``id, text``) from its labelled sample (``doc_id, clean_text``), and the words beyond its own counts."""
+    counts, rest = common_words(documents)
     some = samples.where("clean_text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCUMENTS)
-    pairs = documents.join(F.broadcast(some.select(F.col("doc_id").alias("id"), "clean_text")), "id").select("id", "text", "clean_text").orderBy("id").limit(2 * TRAINING_DOCUMENTS).collect()
-    return train([(r.text, r.clean_text) for r in pairs if r.text], counts)
+    pairs = documents.join(some.select(F.col("doc_id").alias("id"), "clean_text"), "id").select("id", "text", "clean_text").where("text is not null").orderBy("id").limit(2 * TRAINING_DOCUMENTS)
+    if rest is not None:
+        texts = pairs.select(F.lit("d").alias("rec"), "id", "text", F.lit(None).cast("array<string>").alias("names"))
+        found = looked_up(texts, Editor({}, counts), rest).where("extra is not null").select("extra").collect()
+        counts = {**counts, **{w: n for r in found for w, n in r.extra.items()}}
+    return train([(r.text, r.clean_text) for r in pairs.collect()], counts), rest
 
 
 def scanned_records(documents: DataFrame, messages: DataFrame, search_results: DataFrame) -> DataFrame:
     """``rec, id, text, names`` of scanned documents and messages, and of the contexts cut from scanned or unlisted files."""
-    flag = F.coalesce(F.right("text", F.lit(40)).rlike(SCANNED_END), F.lit(False))
+    flag = F.coalesce(last_line(F.col("text")).rlike(SCANNED_END), F.lit(False))
     named = documents.select("filename", "names", flag.alias("scanned")).groupBy("filename").agg(F.first("names").alias("names"), F.max("scanned").alias("scanned"))
     own = documents.where(flag).select(F.lit("d").alias("rec"), F.col("doc_id").alias("id"), "text", "names")
     mail = messages.select(F.lit("m").alias("rec"), F.col("msg_id").alias("id"), F.col("body").alias("text"), "sender", F.col("source_file").alias("filename")).where(flag).distinct()
@@ -426,31 +518,38 @@ def scanned_records(documents: DataFrame, messages: DataFrame, search_results: D
     return own.unionByName(mail.select(own.columns)).unionByName(cut.select(own.columns))
 
 
-def _apply(scanned: DataFrame, editor: Editor, schema: str, rows) -> DataFrame:
-    shared = scanned.sparkSession.sparkContext.broadcast((dict(editor.weights), editor.counts))
+def _apply(scanned: DataFrame, editor: Editor, rest: DataFrame | None, schema: str, rows) -> DataFrame:
+    shared = scanned.sparkSession.sparkContext.broadcast((dict(editor.weights), editor.counts, editor.pairs))
+    columns = ["rec", "id", "text", "names"]
+    if rest is not None:
+        scanned = looked_up(scanned, editor, rest)
+        columns.append("extra")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Editor(*shared.value)
+        weights, counts, pairs = shared.value
+        own = Editor(weights, dict(counts), pairs)
         for batch in batches:
+            if "extra" in batch:
+                own = Editor(weights, {**counts, **{w: n for m in batch["extra"] if m for w, n in dict(m).items()}}, pairs)
             yield rows(batch, own)
 
-    return scanned.select("rec", "id", "text", "names").mapInPandas(run, schema)
+    return scanned.select(columns).mapInPandas(run, schema)
 
 
-def scan_findings(scanned: DataFrame, editor: Editor) -> DataFrame:
+def scan_findings(scanned: DataFrame, editor: Editor, rest: DataFrame | None = None) -> DataFrame:
     """``rec, rec_id, defect, reading``, each once."""
 
     def rows(batch: pd.DataFrame, own: Editor) -> pd.DataFrame:
         out = [(rec, i, *f) for rec, i, text, names in zip(batch["rec"], batch["id"], batch["text"], batch["names"], strict=True) for f in sorted(findings(rec, text, own, names))]
         return pd.DataFrame(out, columns=["rec", "rec_id", "defect", "reading"])
 
-    return _apply(scanned, editor, "rec string, rec_id bigint, defect string, reading string", rows).distinct()
+    return _apply(scanned, editor, rest, "rec string, rec_id bigint, defect string, reading string", rows).distinct()
 
 
-def repaired_texts(scanned: DataFrame, editor: Editor) -> DataFrame:
-    """``rec, rec_id, text`` of scanned documents and messages as continuous paragraphs; one row a record."""
+def repaired_texts(scanned: DataFrame, editor: Editor, rest: DataFrame | None = None) -> DataFrame:
+    """``rec, rec_id, text`` of scanned documents, messages and the contexts cut from them, as continuous paragraphs; one row a record."""
 
     def rows(batch: pd.DataFrame, own: Editor) -> pd.DataFrame:
-        return pd.DataFrame({"rec": batch["rec"], "rec_id": batch["id"], "text": [repair(t, own, n) for t, n in zip(batch["text"], batch["names"], strict=True)]})
+        return pd.DataFrame({"rec": batch["rec"], "rec_id": batch["id"], "text": [repair_context(t, own, n) if rec == "s" else repair(t, own, n) for rec, t, n in zip(batch["rec"], batch["text"], batch["names"], strict=True)]})
 
-    return _apply(scanned.where("rec <> 's'"), editor, "rec string, rec_id bigint, text string", rows).dropDuplicates(["rec", "rec_id"])
+    return _apply(scanned, editor, rest, "rec string, rec_id bigint, text string", rows).dropDuplicates(["rec", "rec_id"])
