@@ -4,11 +4,11 @@ Generators propose overlapping spans with high recall: persons' names around
 words that the archive's own name fields hold, mail addresses, phone and identity
 numbers, street and box addresses. Boosted trees score each span by its form
 and its surroundings; a threshold calibrated on held-out spans accepts it, and
-of overlapping spans the best is kept. Labels come from the archive itself: for
-names the documents whose ``names`` list their persons, for numbers the words
-that announce them. The fit uses a bounded sample (``TRAINING_DOCUMENTS``); the
-statistics of name words cover all documents and messages, of which words with
-at least a millionth of all occurrences go to the workers (a million at most).
+of overlapping spans the best is kept; trees decide every kind. Labels for names are the documents' own ``names``
+(a bounded sample, ``TRAINING_DOCUMENTS``); numbers, mail and street addresses are learnt
+from made-up texts whose truth is known (``pii_samples``). A record's own ``names`` play no part in finding. The
+statistics of name words cover all documents and messages, every word that is used twice. The ``CACHE_WORDS`` most frequent
+ones are broadcast; of further ones a record gets by a keyed join those that its text holds.
 
 Defined results: null and empty texts hold nothing; a value found twice in a
 record is one row; repeated deliveries count once; texts of any length are read
@@ -19,17 +19,23 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from archivolt.llm import pii_samples
 from archivolt.llm.boosting import BoostedTrees
+from archivolt.runtime import materialize
 
 TRAINING_DOCUMENTS = 1500
+#: Made-up samples of each of numbers, mail and street addresses.
+TRAINING_SAMPLES = 6000
+#: Most name words whose counts are broadcast.
+CACHE_WORDS = 1_000_000
 KINDS = ("name", "email", "phone", "idno", "address")
 # Words of organisations, and titles before names.
 ORG_WORDS = frozenset(
@@ -51,6 +57,7 @@ _PHONE_FORMS = (
     re.compile(r"^0\d{1,4}(?:[ \-.]\d{2,5}){2,4}$"),
 )
 _ID_FORMS = (re.compile(r"^\d{3}[- ]\d{2}[- ]\d{4}$"), re.compile(r"^\d{13}$"), re.compile(r"^\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}$"), re.compile(r"^[A-Z]{1,3}\d{6,9}$"), re.compile(r"^[A-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-Z]$"))
+_DATE = re.compile(r"^(?:\d{1,2}([.\- ])\d{1,2}\1(?:19|20)\d\d|(?:19|20)\d\d([.\- ]?)\d\d\2\d\d)$")
 _EXT = re.compile(r",? ?(?:ext|x|extension)\.? ?\d{1,6}$")
 _W = r"(?:[ \t]+|[ \t]*\n(?:[>|] ?)*)"
 _TOWN = r"[^\W\d_a-z][^\W\d_]+(?:-[^\W\d_]+)*"
@@ -63,14 +70,15 @@ _NUMBER_FIRST = re.compile(
     rf"|(?:rue|RUE|avenue|AVENUE|place|PLACE|chemin|boulevard){_W}(?:(?:du|de|des|la|le|DU|DE|DES|LA|LE){_W}|de{_W}la{_W}|[dDlL]['’])*[^\W\d_][\w'’-]*)" + _END
 )
 _NUMBER_LAST = re.compile(rf"(?<![\w-]){_FLAT}[^\W\d_a-z][\w-]*(?:straße|strasse|STRASSE|STRAßE|weg|allee|platz|gasse){_W}\d{{1,5}}[a-z]?" + _END)
-_BOX = re.compile(rf"(?<![\w-])P\.? ?O\.? ?(?:Box|BOX){_W}\d+" + _END)
-_MAIL_LEFT, _MAIL_RIGHT = re.compile(r"[\w.+-]+$"), re.compile(r"[\w-]+(?:\.[\w-]+)+")
+_BOX = re.compile(rf"(?<![\w-])P\.? ?O\.?(?:{_W})?(?:Box|BOX){_W}\d+" + _END)
+_MAIL_LEFT, _MAIL_RIGHT = re.compile(r"[\w.+-]"), re.compile(r"[\w-]+(?:\.[\w-]+)+")
 _NUMERIC = re.compile(r"[+(\d][\d\-. ()\n]{4,}\d")
 _SPELT = re.compile(r"[\w.+-]+ ?[(\[{] ?at ?[)\]}] ?[\w-]+(?:(?:\.| dot | ?[(\[{] ?dot ?[)\]}] ?)[\w-]+)+|[\w.+-]+ at [\w-]+(?: dot [\w-]+)+", re.I)
 
 # Words that announce a personal number, and words that announce another kind of number.
 _PERSONAL = frozenset("id identity passport card ssn social security national holder personal".split())
 _OTHER = frozenset("lot invoice inv docket account ending ref reference batch file box item drawing version phase row shelf tray sent date order total usd eur gbp bates no page".split())
+_MONTHS = frozenset("january february march april may june july august september october november december".split())
 _CALL = frozenset("phone tel call mobile m t fax ph cell kept at ring reach or".split())
 
 
@@ -113,8 +121,8 @@ def split_name(name: str) -> tuple[list[str], list[str], bool]:
     return [b for _, b in keep[:-1]], [keep[-1][1]], False
 
 
-def name_words(names: DataFrame, share: float = 1e-6) -> Lexicon:
-    """The lexicon of a column ``name`` (all spellings, with their repetitions)."""
+def name_words(names: DataFrame) -> tuple[Lexicon, DataFrame | None]:
+    """The lexicon of a column ``name`` (all spellings, with their repetitions): its ``CACHE_WORDS`` most frequent words, and a table ``w, g, f, o`` of the rest if there is any."""
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -129,19 +137,39 @@ def name_words(names: DataFrame, share: float = 1e-6) -> Lexicon:
 
     spelt = names.where("name is not null and trim(name) <> '' and not name like '%@%'").groupBy("name").agg(F.count("*").alias("times"))
     words = spelt.mapInPandas(split, "w string, g bigint, f bigint, o bigint").groupBy("w").agg(F.sum("g").alias("g"), F.sum("f").alias("f"), F.sum("o").alias("o"))
-    from archivolt.runtime import materialize
+    words = materialize(words.withColumn("n", F.col("g") + F.col("f") + F.col("o")).where("n > 1"), "namewords")
+    # how many words are used how often: few rows, as counts repeat
+    least, held = 1, 0
+    for r in words.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n")).toLocalIterator():
+        held += r.k
+        if held > CACHE_WORDS:
+            least = r.n + 1
+            break
+    rows = words.where(F.col("n") >= least).toPandas()
+    counts = {w: (int(g), int(f), int(o)) for w, g, f, o in rows[["w", "g", "f", "o"]].itertuples(index=False)}
+    return Lexicon(counts), words.where(F.col("n") < least).drop("n") if least > 1 else None
+
+
+def looked_up(records: DataFrame, lexicon: Lexicon, rest: DataFrame) -> DataFrame:
+    """``records`` with ``extra``: the counts from ``rest`` of the words that a record's text holds."""
+    shared = records.sparkSession.sparkContext.broadcast(lexicon.counts)
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
+        for batch in batches:
+            rows = [(rec, i, w) for rec, i, text in zip(batch["rec"], batch["id"], batch["text"], strict=True) if text for w in {t.lower() for t in _TOKEN.findall(text)} if w not in known]
+            yield pd.DataFrame(rows, columns=["rec", "id", "w"])
 
-    words = materialize(words, "namewords")
-    total = words.agg(F.sum(F.col("g") + F.col("f") + F.col("o"))).first()[0] or 0
-    rows = words.where(F.col("g") + F.col("f") + F.col("o") >= max(2, int(total * share))).toPandas()
-    return Lexicon({w: (int(g), int(f), int(o)) for w, g, f, o in rows[["w", "g", "f", "o"]].itertuples(index=False)})
+    asked = records.select("rec", "id", "text").mapInPandas(ask, "rec string, id bigint, w string").distinct()
+    extra = asked.join(rest, "w").groupBy("rec", "id").agg(F.map_from_entries(F.collect_list(F.struct("w", F.array("g", "f", "o").alias("c")))).alias("extra"))
+    return records.join(extra, ["rec", "id"], "left")
 
 
 def _gap_ok(text: str, a: int, b: int) -> bool:
     return b > a and bool(_GAP.match(text, a, b)) and text.count("\n", a, b) < 2
 
 
-def name_spans(text: str, lexicon: Lexicon, known: Iterable[str] = ()) -> list[tuple[int, int, list[str]]]:
+def name_spans(text: str, lexicon: Lexicon) -> list[tuple[int, int, list[str]]]:
     """Overlapping candidate spans of persons' names with their words."""
     kind = lexicon.kind
     found = list(_TOKEN.finditer(text))
@@ -198,14 +226,6 @@ def name_spans(text: str, lexicon: Lexicon, known: Iterable[str] = ()) -> list[t
                 if sum(len(tokens[k][2]) > 1 for k in range(i, j + 1)) < 1:
                     continue
                 add(i, j)
-    for name in known:
-        if name and len(name) > 3 and " " in name:
-            at = text.find(name)
-            while at >= 0:
-                e = at + len(name)
-                if not text[at - 1 : at].isalnum() and not text[e : e + 1].isalnum():
-                    out.setdefault((at, e), _TOKEN.findall(name))
-                at = text.find(name, at + 1)
     return [(s, e, w) for (s, e), w in out.items()]
 
 
@@ -253,19 +273,53 @@ def number_spans(text: str) -> list[tuple[int, int]]:
                 if s >= 2 and text[s - 2 : s] == "1-" and not m.group().startswith("1-"):
                     s -= 2
                 out.append((s, e))
+                # a number may end with its line: the parts between line ends are candidates too
+                for part in re.finditer(r"[^\n]+", text[s:e]) if "\n" in m.group() else ():
+                    a, b = s + part.start(), s + len(text[s : s + part.end()].rstrip(" .-"))
+                    if 6 <= sum(c.isdigit() for c in text[a:b]) <= 22:
+                        out.append((a, b))
     return out
 
 
 def mail_spans(text: str) -> list[tuple[int, int]]:
     out, at = [], text.find("@")
     while at >= 0:
-        left, right = _MAIL_LEFT.search(text, max(0, at - 80), at), _MAIL_RIGHT.match(text, at + 1)
-        if left and right:
-            out.append((left.start(), right.end()))
+        start = at
+        while start and _MAIL_LEFT.match(text, start - 1, at):
+            start -= 1
+        right = _MAIL_RIGHT.match(text, at + 1)
+        if start < at and right:
+            out.append((start, right.end()))
         at = text.find("@", at + 1)
+    low = text.lower()
+    if "at)" in low or "at]" in low or " dot " in low:
+        out += [m.span() for m in _SPELT.finditer(text)]
     return out
 
 
+def mail_features(text: str, s: int, e: int) -> list[float]:
+    shown = re.sub(r" ?[(\[{] ?at ?[)\]}] ?| at ", "@", text[s:e], flags=re.I)
+    spelt = shown != text[s:e]
+    local, _, host = re.sub(r" dot | ?[(\[{] ?dot ?[)\]}] ?", ".", shown, flags=re.I).partition("@")
+    parts = host.split(".")
+    return [
+        float(spelt), float(len(local)), float(sum(c.isalpha() for c in local)), float(len(parts)), float(len(parts[-1])), float(parts[-1].isalpha()), float(len(parts[0])), float(any(c.isalpha() for c in parts[0])),
+        float(sum(c.isdigit() for c in host)), float(text[s - 1 : s] in "<[(\"" and s > 0), float(text[e : e + 1] in ">])\"" and e < len(text)),
+    ]
+
+
+def address_features(text: str, s: int, e: int) -> list[float]:
+    shown = text[s:e]
+    before = _words_before(text, s, 2)
+    number = re.match(r"\d+", shown)
+    first = int(number[0][:6]) if number else 0
+    return [
+        float(first), float(1900 <= first < 2100), float(bool(re.search(r"\d{4,6}", shown[5:]))), float(shown[:1].isdigit()), float(bool(re.match(r"(?i)p\.? ?o", shown))), float(bool(re.match(r"(?i)apt|flat|unit|suite", shown))),
+        float(len(shown.split())), float(bool(re.search(r"(?i)stra(?:ss|ß)e|weg|platz|gasse|allee|\brue\b|\bavenue\b|chemin", shown))), float(shown.isupper()), float("\n" in shown),
+        float(bool(before) and before[-1] in _MONTHS), float(bool(before) and before[-1] in ("in", "since", "until", "before", "of")), float(bool(before) and before[-1] in ("at", "to", "address")),
+    ]
+
+
 def address_spans(text: str) -> list[tuple[int, int]]:
     out = [m.span() for m in _NUMBER_FIRST.finditer(text)]
     low = text.lower()
@@ -285,8 +339,8 @@ def number_features(text: str, s: int, e: int) -> list[float]:
     return [
         *(float(bool(p.match(core))) for p in _PHONE_FORMS), *(float(bool(p.match(core))) for p in _ID_FORMS),
         float(sum(c.isdigit() for c in core)), float(core != shown), float(core.startswith("+")), float(core.startswith("0")), float(core.startswith("9")),
-        float(any(w in _PERSONAL for w in before)), float(any(w in _PERSONAL for w in before[-2:])), float(any(w in _OTHER for w in before[-2:])), float(any(w in _OTHER for w in before)), float(any(w in _CALL for w in before[-2:])),
-        float(bool(before) and before[-1] == "number"), float(bool(after) and (after[0] in ("next", "holder", "and"))), float(bool(re.match(r"(?i)^(?:sent|date|from|subject) ?:", head))), float(not head), float(text[s - 1 : s] in "-/#"), float("\n" in text[s:e]),
+        float(bool(_DATE.match(core))), float(any(w in _PERSONAL for w in before)), float(any(w in _PERSONAL for w in before[-2:])), float(any(w in _OTHER for w in before[-2:])), float(any(w in _OTHER for w in before)), float(any(w in _CALL for w in before[-2:])),
+        float(bool(before) and before[-1] == "number"), float(bool(after) and (after[0] in ("next", "holder", "and"))), float(bool(re.match(r"(?i)^(?:sent|date|from|subject) ?:", head))), float(not head), float(s > 0 and text[s - 1] in "-/#:."), float(s > 0 and text[s - 1] == ":"), float("\n" in text[s:e]), float(bool(re.match(r"[.\-:]\d", text[e : e + 2]))),
     ]
 
 
@@ -298,26 +352,33 @@ class Finder:
     names: BoostedTrees
     phones: BoostedTrees
     idnos: BoostedTrees
+    mails: BoostedTrees
+    streets: BoostedTrees
+    rest: DataFrame | None = None
 
-    def spans(self, texts: list[str | None], known: list[Iterable[str] | None]) -> list[list[tuple[int, int, str, float]]]:
+    def spans(self, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
         """Accepted (start, end, kind, probability) of each text, without overlaps, in order."""
         found: list[list[tuple[int, int, str, float]]] = [[] for _ in texts]
         nf, nn, df, dn = [], [], [], []
+        rows: dict[str, tuple[list, list]] = {"email": ([], []), "address": ([], [])}
         for i, text in enumerate(texts):
             if not text:
                 continue
-            for s, e, words in name_spans(text, self.lexicon, known[i] if known[i] is not None else ()):
+            for s, e, words in name_spans(text, self.lexicon):
                 nf.append(name_features(text, s, e, words, self.lexicon))
                 nn.append((i, s, e))
             for s, e in number_spans(text):
                 df.append(number_features(text, s, e))
                 dn.append((i, s, e))
-            if "@" in text:
-                found[i].extend((s, e, "email", 0.999) for s, e in mail_spans(text))
-            low = text.lower()
-            if "at)" in low or "at]" in low or " dot " in low:
-                found[i].extend((m.start(), m.end(), "email", 0.99) for m in _SPELT.finditer(text))
-            found[i].extend((s, e, "address", 0.98) for s, e in address_spans(text))
+            for kind, spans, features in (("email", mail_spans, mail_features), ("address", address_spans, address_features)):
+                for s, e in spans(text):
+                    rows[kind][0].append(features(text, s, e))
+                    rows[kind][1].append((i, s, e))
+        for kind, model in (("email", self.mails), ("address", self.streets)):
+            if rows[kind][0]:
+                for (i, s, e), p in zip(rows[kind][1], model.probability(np.array(rows[kind][0])), strict=True):
+                    if p >= model.threshold:
+                        found[i].append((s, e, kind, float(p)))
         if nf:
             for (i, s, e), p in zip(nn, self.names.probability(np.array(nf)), strict=True):
                 if p >= self.names.threshold:
@@ -343,8 +404,8 @@ def _best(spans: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str,
 
 
 def fit(samples: list[tuple[str, list[str]]], lexicon: Lexicon) -> Finder:
-    """Fit on (text, names) pairs whose names list all persons and organisations of the text."""
-    nx, ny, dx, phone, idno = [], [], [], [], []
+    """Fit on (text, names) pairs whose names list all persons and organisations of the text, and on made-up texts."""
+    nx, ny = [], []
     for text, names in samples:
         listed = {re.sub(r"\s+", " ", n.strip()) for n in names if n}
         persons = {n for n in listed if not split_name(n)[2]}
@@ -352,14 +413,20 @@ def fit(samples: list[tuple[str, list[str]]], lexicon: Lexicon) -> Finder:
             shown = re.sub(r"\s*\n(?:[>|] ?)*\s*|\s+", " ", text[s:e])
             nx.append(name_features(text, s, e, words, lexicon))
             ny.append(shown in persons and len(_TOKEN.findall(shown)) > 1)
-        for s, e in number_spans(text):
-            shown = re.sub(r"\s+", " ", text[s:e])
-            core = _EXT.sub("", shown)
-            before = _words_before(text, s)
-            dx.append(number_features(text, s, e))
-            other = any(w in _OTHER for w in before[-2:])
-            phone.append(any(p.match(core) for p in _PHONE_FORMS) and not other)
-            idno.append(any(p.match(core) for p in _ID_FORMS) and (any(w in _PERSONAL for w in before) or bool(before) and before[-1] == "number" and not other))
+
+    def made(rows: list[tuple[str, int, int, str]], spans, features) -> tuple[list, list]:
+        """Features and labels of what the generator finds in made-up texts; a span that is not exactly the written one is none."""
+        x, y = [], []
+        for text, s, e, label in rows:
+            for a, b in spans(text):
+                x.append(features(text, a, b))
+                y.append(label if (a, b) == (s, e) else "")
+        return x, y
+
+    dx, dy = made(pii_samples.numbers(TRAINING_SAMPLES), number_spans, number_features)
+    mx, my = made(pii_samples.mails(TRAINING_SAMPLES), mail_spans, mail_features)
+    ax, ay = made(pii_samples.addresses(TRAINING_SAMPLES), address_spans, address_features)
+
     def trees(x: list, y: list) -> BoostedTrees:
         if not x or not any(y) or all(y):
             model = BoostedTrees()
@@ -367,7 +434,8 @@ def fit(samples: list[tuple[str, list[str]]], lexicon: Lexicon) -> Finder:
             return model
         return BoostedTrees().fit(np.array(x), np.array(y, float))
 
-    return Finder(lexicon, trees(nx, ny), trees(dx, phone), trees(dx, idno))
+    kinds = [(nx, ny), (dx, [v == "phone" for v in dy]), (dx, [v == "idno" for v in dy]), (mx, [v == "email" for v in my]), (ax, [v == "address" for v in ay])]
+    return Finder(lexicon, *(trees(x, y) for x, y in kinds))
 
 
 def trained_finder(documents: DataFrame, messages: DataFrame) -> Finder:
@@ -375,14 +443,24 @@ def trained_finder(documents: DataFrame, messages: DataFrame) -> Finder:
     cells = messages.select(F.explode(F.split(F.concat_ws(";", "sender", "recipient"), ";")).alias("cell"))
     bare = F.regexp_replace("cell", r'\s*[<\[][^>\]]*[>\]]\s*$|^\s+|\s+$|"', "")
     names = documents.select(F.explode("names").alias("name")).unionByName(cells.select(bare.alias("name")))
-    lexicon = name_words(names)
-    sample = documents.where("size(names) > 1 and text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCUMENTS).select("text", "names").collect()
-    return fit([(r.text, r.names) for r in sample], lexicon)
+    lexicon, rest = name_words(names)
+    sample = documents.where("size(names) > 1 and text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_DOCUMENTS).select(F.lit("d").alias("rec"), F.col("doc_id").alias("id"), "text", "names")
+    if rest is not None:
+        sample = looked_up(sample, lexicon, rest)
+    rows = sample.orderBy("id").collect()
+    extra = {w: tuple(c) for r in rows if rest is not None and r.extra for w, c in r.extra.items()}
+    finder = fit([(r.text, r.names) for r in rows], Lexicon({**lexicon.counts, **extra}))
+    finder.lexicon, finder.rest = lexicon, rest
+    return finder
 
 
 def _run(records: DataFrame, finder: Finder, schema: str, rows) -> DataFrame:
-    """``records``: rec, id, text, names (null where a record has no list)."""
-    shared = records.sparkSession.sparkContext.broadcast(finder)
+    """``records``: rec, id, text."""
+    columns = ["rec", "id", "text"]
+    if finder.rest is not None:
+        records = looked_up(records, finder.lexicon, finder.rest)
+        columns.append("extra")
+    shared = records.sparkSession.sparkContext.broadcast(replace(finder, rest=None))
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
@@ -390,9 +468,13 @@ def _run(records: DataFrame, finder: Finder, schema: str, rows) -> DataFrame:
             for start in range(0, len(batch), 200):
                 part = batch.iloc[start : start + 200]
                 texts = part["text"].tolist()
-                yield rows(part, texts, own.spans(texts, part["names"].tolist()))
+                use = own
+                if "extra" in part:
+                    more = {w: tuple(c) for m in part["extra"] if m for w, c in dict(m).items()}
+                    use = replace(own, lexicon=Lexicon({**own.lexicon.counts, **more}))
+                yield rows(part, texts, use.spans(texts))
 
-    return records.select("rec", "id", "text", "names").mapInPandas(apply, schema)
+    return records.select(columns).mapInPandas(apply, schema)
 
 
 def findings(records: DataFrame, finder: Finder) -> DataFrame:

@@ -62,8 +62,8 @@ def p3_authored(spark: SparkSession, d: str) -> DataFrame:
 
 def _personal(spark: SparkSession, d: str) -> tuple[DataFrame, pii.Finder]:
     documents, messages = table(spark, d, "documents"), table(spark, d, "messages")
-    texts = spread(documents.select("doc_id", "text", "names")).select(F.lit("d").alias("rec"), F.col("doc_id").alias("id"), "text", "names")
-    texts = texts.unionByName(spread(messages.select("msg_id", "body")).select(F.lit("m").alias("rec"), F.col("msg_id").alias("id"), F.col("body").alias("text"), F.lit(None).cast("array<string>").alias("names")))
+    texts = spread(documents.select(F.lit("d").alias("rec"), F.col("doc_id").alias("id"), "text"))
+    texts = texts.unionByName(spread(messages.select(F.lit("m").alias("rec"), F.col("msg_id").alias("id"), F.col("body").alias("text"))))
     return texts, pii.trained_finder(documents, messages)
 
 

@@ -130,7 +130,7 @@ def finder():
 def test_personal_data_on_held_out_texts(finder):
     model, held = finder
     hit = wrong = missed = 0
-    for (text, names), spans in zip(held, model.spans([t for t, _ in held], [None] * len(held)), strict=True):
+    for (text, names), spans in zip(held, model.spans([t for t, _ in held]), strict=True):
         want = {n for n in names if n != "Volgavane Trust"}
         got = {text[s:e] for s, e, k, _ in spans if k == "name"}
         hit, wrong, missed = hit + len(got & want), wrong + len(got - want), missed + len(want - got)
@@ -141,7 +141,7 @@ def test_personal_data_on_held_out_texts(finder):
 
 def test_addresses_and_mail(finder):
     text = "Held at Apt 8, 55 Quarry Lane, Brădora before March; 456 rue du Rapport, 00996 Kestrin. Kanalstraße 116, 00700 Larkmoor or P.O. Box 377, Adrona. Write ann.lee@x.example or bo (at) postnest dot example, also cy [at] x.test."
-    got = [(k, text[s:e]) for s, e, k, _ in finder[0].spans([text, None, ""], [None] * 3)[0]]
+    got = [(k, text[s:e]) for s, e, k, _ in finder[0].spans([text, None, ""])[0]]
     assert [v for k, v in got if k == "address"] == ["Apt 8, 55 Quarry Lane, Brădora", "456 rue du Rapport, 00996 Kestrin", "Kanalstraße 116, 00700 Larkmoor", "P.O. Box 377, Adrona"]
     assert [v for k, v in got if k == "email"] == ["ann.lee@x.example", "bo (at) postnest dot example", "cy [at] x.test"]
 
