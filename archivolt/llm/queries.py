@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from archivolt.llm import authored, entities, leakage, mixture, neardup, pii, scanfix, spans
+from archivolt.llm.oracles import ORACLES as ORACLES
 from archivolt.llm.texts import records
 from archivolt.runtime import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -115,3 +115,8 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_shares(_documents(spark, d))
+
+
+@query
+def p9_units(spark: SparkSession, d: str) -> DataFrame:
+    return spans.unit_dedup(_documents(spark, d)).drop("removed")

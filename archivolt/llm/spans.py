@@ -18,6 +18,9 @@ Candidate pairs meet with the shift between their starts, and the exact runs of
 equal characters along that shift are measured on the whole texts. Equal texts
 are one class until the end.
 
+:func:`unit_dedup` takes lines as units: normalised, grouped by digest over all records, the earliest kept and the
+rest removed with their original offsets. It forms no pairs.
+
 Defined results: null and short texts share nothing; repeated rows of one id
 count once; a record shares nothing with itself; ties in rank go to the smaller
 id; extra columns are dropped.
@@ -42,6 +45,7 @@ from archivolt.runtime import materialize
 #: A digest that more classes share than this is split by the exact windows around it before any pair is formed.
 HOT_DIGEST = 100
 _START = re.compile(r"(?:\n|[.?!;:] )(?=\S)")
+_UNIT_WORD = re.compile(r"[^\W_]+")
 _GRAM = 16
 
 
@@ -201,3 +205,45 @@ def shared_shares(documents: DataFrame, length: int = 300, unit: int = 120) -> D
     total = lambda spans: F.aggregate(spans, F.lit(0), lambda acc, x: acc + x["e"] - x["s"])
     kept = F.array_join(F.transform(F.filter("ranges", lambda r: r["kept"]), lambda r: F.substring(F.col("text"), r["start"] + 1, r["end"] - r["start"])), "")
     return out.select("id", "chars", F.size("_in").alias("spans"), total(F.col("_in")).alias("shared_chars"), (total(F.col("_in")) / F.col("chars")).alias("shared_share"), total(F.col("_out")).alias("removed_chars"), "ranges", kept.alias("kept_text"))
+
+
+def unit_dedup(documents: DataFrame, least: int = 40) -> DataFrame:
+    """``id, units, removed_units, removed_chars, kept_text, removed``: every record without the lines that an earlier place holds already.
+
+    A line counts by its letters and digits in lower case, if these are ``least`` characters or more; the earliest place is
+    the smallest id, then the smallest offset. ``removed`` lists ``start, end`` of the lines taken out, by the record's own
+    offsets. Null texts are left out, repeated rows of one id count once.
+    """
+    ready = documents.select("id", "text").where("text is not null").dropDuplicates(["id"])
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for i, text in zip(batch["id"], batch["text"], strict=True):
+                at = 0
+                for line in text.split("\n"):
+                    plain = " ".join(_UNIT_WORD.findall(line.lower()))
+                    if len(plain) >= least:
+                        rows.append((i, at, at + len(line), xxhash.xxh3_128_digest(plain.encode("utf-8", "surrogatepass"))))
+                    at += len(line) + 1
+            yield pd.DataFrame(rows, columns=["id", "start", "end", "digest"])
+
+    units = materialize(ready.mapInPandas(cut, "id bigint, start int, end int, digest binary"), "lines")
+    first = units.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("k")).where("k > 1")
+    gone = units.join(first, "digest").where(F.struct("id", "start") != F.col("first")).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for i, text, removed in zip(batch["id"], batch["text"], batch["removed"], strict=True):
+                spans = [] if removed is None else [(r["start"], r["end"]) for r in removed]
+                starts, kept, at, n = {s for s, _ in spans}, [], 0, 0
+                for line in text.split("\n"):
+                    n += 1
+                    if at not in starts:
+                        kept.append(line)
+                    at += len(line) + 1
+                rows.append((i, n, len(spans), sum(e - s for s, e in spans), "\n".join(kept), [{"start": s, "end": e} for s, e in spans]))
+            yield pd.DataFrame(rows, columns=["id", "units", "removed_units", "removed_chars", "kept_text", "removed"])
+
+    return ready.join(gone, "id", "left").mapInPandas(keep, "id bigint, units bigint, removed_units bigint, removed_chars bigint, kept_text string, removed array<struct<start:int,end:int>>")
