@@ -295,12 +295,27 @@ def new_lines(messages: DataFrame, body: str = "body") -> DataFrame:
     return _per_message(messages, body, "msg_id bigint, line_no int", rows).distinct()
 
 
-def new_text(messages: DataFrame, body: str = "body") -> DataFrame:
-    """``msg_id, new_text, kept_lines, dropped_lines``; one row a message, empty text where nothing is new."""
+def without_headers(raw: str | None) -> str | None:
+    """A complete mail without the block of header lines at its top; a header's further lines are indented."""
+    if not raw:
+        return raw
+    lines = raw.split("\n")
+    k = 0
+    while k < len(lines) and (_HEADER.match(lines[k]) or (k and lines[k][:1] in " \t" and lines[k].strip())):
+        k += 1
+    return "\n".join(lines[k:])
+
+
+def new_text(messages: DataFrame, body: str = "body", headed: bool = False) -> DataFrame:
+    """``msg_id, new_text, kept_lines, dropped_lines``; one row a message, empty text where nothing is new.
+
+    With ``headed`` the text is a complete mail, whose own headers go first; a mail cut short is read as far as it goes.
+    """
 
     def rows(batch: pd.DataFrame) -> pd.DataFrame:
         out = []
         for m, b in zip(batch["msg_id"], batch["body"], strict=True):
+            b = without_headers(b) if headed else b
             lines = (b or "").split("\n")
             keep = set(authored_lines(b))
             text = "\n".join(x if i in keep else "" for i, x in enumerate(lines, 1))

@@ -169,6 +169,20 @@ def near_record_pairs(records: DataFrame, **options) -> DataFrame:
     return both.select("rec", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
+def near_links(records: DataFrame, **options) -> DataFrame:
+    """``rec, id, class_id, copies, n_links``: every taking-part record with the smallest id of its equal texts, their number, and how many records it is similar to.
+
+    Links are counted between classes by their sizes; neither copies nor partners are expanded into pairs of records.
+    """
+    pairs, members = near_pairs(records, **options)
+    members = materialize(members, "members")
+    sizes = members.groupBy("cls").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"))
+    sides = pairs.select(F.col("cls_a").alias("cls"), F.col("cls_b").alias("other")).unionByName(pairs.select(F.col("cls_b").alias("cls"), F.col("cls_a").alias("other")))
+    near = sides.join(sizes.select(F.col("cls").alias("other"), "copies"), "other").groupBy("cls").agg(F.sum("copies").alias("near"))
+    out = members.join(sizes, "cls").join(near, "cls", "left")
+    return out.select("rec", "id", "class_id", "copies", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+
+
 def near_groups(records: DataFrame, threshold: float = 0.8, size: int = 5, min_words: int = 20, bands: int = 40, rows: int = 4) -> DataFrame:
     """``rec, id, group_id, members``: every taking-part record with the smallest id of its group and the group's size.
 

@@ -22,6 +22,10 @@ ORACLES: dict[str, str] = {
     "p1_groups": f"""WITH RECURSIVE {_near(5, '0.8')}, both_ways AS (SELECT rec, id_a AS a, id_b AS b FROM near UNION ALL SELECT rec, id_b, id_a FROM near),
       reach AS (SELECT rec, id AS a, id AS b FROM taking UNION SELECT r.rec, r.a, e.b FROM reach r JOIN both_ways e ON r.rec = e.rec AND r.b = e.a)
       SELECT rec, a AS id, min(b) AS group_id, count(*) AS members FROM reach GROUP BY rec, a""",
+    "p1_links": f"""WITH {_near(3, '0.6')}, raw AS (SELECT DISTINCT 'd' AS rec, doc_id AS id, text FROM documents UNION SELECT DISTINCT 'm', msg_id, body FROM messages),
+      same AS (SELECT rec, id, min(id) OVER (PARTITION BY rec, text) AS class_id, count(*) OVER (PARTITION BY rec, text) AS copies FROM raw),
+      ends AS (SELECT rec, id, count(*) AS k FROM (SELECT rec, id_a AS id FROM near UNION ALL SELECT rec, id_b FROM near) GROUP BY rec, id)
+      SELECT rec, id, class_id, copies, coalesce(k, 0)::bigint AS n_links FROM taking JOIN same USING (rec, id) LEFT JOIN ends USING (rec, id)""",
     "p7_found": f"""WITH d AS (SELECT doc_id, unnest({_runs("w", 12)}) AS g FROM (SELECT doc_id, {_WORDS.format(x="text")} AS w FROM documents)),
       i AS (SELECT item_id, unnest({_runs("w", 12)}) AS g FROM (SELECT item_id, {_WORDS.format(x="item_text")} AS w FROM eval_items))
       SELECT DISTINCT item_id, doc_id FROM i JOIN d USING (g)""",

@@ -34,6 +34,11 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_groups(records(spark, d))
 
 
+@query
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.near_links(records(spark, d))
+
+
 def _scanned(spark: SparkSession, d: str) -> tuple[DataFrame, scanfix.Editor, DataFrame | None]:
     documents = table(spark, d, "documents")
     editor, rest = scanfix.trained_editor(documents.select(F.col("doc_id").alias("id"), "text"), table(spark, d, "clean_samples"))
@@ -60,6 +65,12 @@ def p3_authored(spark: SparkSession, d: str) -> DataFrame:
     return authored.new_text(spread(table(spark, d, "messages").select("msg_id", "body")))
 
 
+@query
+def p3_raw(spark: SparkSession, d: str) -> DataFrame:
+    """The new text of the complete mails, where a message has one."""
+    return authored.new_text(spread(table(spark, d, "messages").where("raw_text <> ''").select("msg_id", "raw_text")), "raw_text", headed=True)
+
+
 def _personal(spark: SparkSession, d: str) -> tuple[DataFrame, pii.Finder]:
     documents, messages = table(spark, d, "documents"), table(spark, d, "messages")
     texts = spread(documents.select(F.lit("d").alias("rec"), F.col("doc_id").alias("id"), "text"))

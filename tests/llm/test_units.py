@@ -20,3 +20,23 @@ def test_units(spark):
     assert got[5].kept_text == "" and got[5].units == 1
     assert got[6].kept_text == "x" * 100_000 and got[6].removed_chars == len(line)
     assert spans.unit_dedup(spark.createDataFrame([], "id bigint, text string")).count() == 0
+
+
+def test_links_are_counted_without_pairs(spark):
+    from archivolt.llm import neardup
+
+    words = [f"w{k}" for k in range(40)]
+    text = " ".join(words)
+    near = " ".join([*words[:38], "x", "y"])
+    rows = [("d", 1, text), ("d", 2, text), ("d", 2, text), ("d", 3, near), ("d", 4, " ".join(f"v{k}" for k in range(40))), ("m", 5, text), ("d", 6, "too short"), ("d", 7, None)]
+    got = {(r.rec, r.id): (r.class_id, r.copies, r.n_links) for r in neardup.near_links(spark.createDataFrame(rows, "rec string, id bigint, text string")).collect()}
+    assert got == {("d", 1): (1, 2, 2), ("d", 2): (1, 2, 2), ("d", 3): (3, 1, 2), ("d", 4): (4, 1, 0), ("m", 5): (5, 1, 0)}
+
+
+def test_complete_mails(spark):
+    from archivolt.llm import authored
+
+    raw = "From: a <a@x.org>\nTo: b;\n  c\nSubject: boats\n\nHi Bo,\n\nAll sold.\n\nBest,\nAnn\n\n> old"
+    rows = [(1, raw), (1, raw), (2, None), (3, ""), (4, "No headers here at all."), (5, "From: a\nTo: b")]
+    got = {r.msg_id: r.new_text for r in authored.new_text(spark.createDataFrame(rows, "msg_id bigint, raw_text string"), "raw_text", headed=True).collect()}
+    assert got == {1: "Hi Bo,\n\nAll sold.", 2: "", 3: "", 4: "No headers here at all.", 5: ""}
