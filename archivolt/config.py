@@ -105,6 +105,7 @@ class Settings:
     ignored_addresses: tuple[str, ...] = ()
     known_names: tuple[str, ...] = ()
     owner_names: tuple[str, ...] = ()
+    mailboxes: tuple[str, ...] = ()
     retry_base_seconds: float = 2.0
     max_attempts: int = 3
     default_date: str = "2000-01-01"

@@ -64,11 +64,20 @@ def clean_for_matching(c: Column) -> Column:
     return F.regexp_replace(out, r"(?dimuU)^(To|From|Sent|Subject|Date):.*$", "")
 
 
-def normalize_email(c: Column, repairs: tuple[tuple[str, str], ...] = ADDRESS_REPAIRS) -> Column:
-    """Lower case, ends stripped, scanner slips set right in order (a repaired ``x@agmail.com`` keeps its two signs)."""
+def normalize_email(c: Column, repairs: tuple[tuple[str, str], ...] = ADDRESS_REPAIRS, mailboxes: tuple[str, ...] = DEFAULTS.mailboxes) -> Column:
+    """Lower case, ends stripped, scanner slips set right in order (a repaired ``x@agmail.com`` keeps its two signs).
+
+    Of each of the caller's ``mailboxes`` (local parts such as ``jane-holiday``: a short name, a hyphen, the rest) damaged forms are set right: the
+    rest before the sign, and at most four letters before it that begin like the name.
+    """
     out = strip(F.lower(c))
     for was, now in repairs:
         out = F.replace(out, F.lit(was), F.lit(now))
+    for box in mailboxes:
+        name, _, rest = box.partition("-")
+        head = F.substring_index(out, f"{rest}@", 1)
+        damaged = F.contains(out, F.lit(f"{rest}@")) & out.startswith(name[:1]) & (F.length(head) <= 4)
+        out = F.when(damaged, F.concat(F.lit(f"{name}{rest}@"), F.substring_index(out, f"{rest}@", -1))).otherwise(out)
     return out
 
 

@@ -68,3 +68,9 @@ def test_lcs_against_table(a, b):
 @pytest.mark.parametrize(("a", "b", "r"), [("abc", "abc", 100), ("", "", 100), (None, "x", 0), ("ab", "cd", 0), ("abcd", "abxd", 75)])
 def test_ratio(a, b, r):
     assert ratio(a, b) == pytest.approx(r)
+
+
+def test_damaged_mailboxes_are_set_right(column):
+    fix = lambda c: text.normalize_email(c, mailboxes=("jane-holiday",))
+    values = ["JaneHoliday@x.org", "jnholiday@x.org", "j.holiday@x.org", "annholiday@x.org", "johannesholiday@x.org", "holiday@x.org", None]
+    assert column(fix, values) == ["janeholiday@x.org", "janeholiday@x.org", "janeholiday@x.org", "annholiday@x.org", "johannesholiday@x.org", "holiday@x.org", None]
