@@ -91,9 +91,15 @@ def mix_sources(counted: DataFrame, targets: DataFrame, total: float | None = No
     cuts = cuts.select("source", "range", "before", "epochs", "rest", side.alias("side"))
     placed = keyed.join(cuts, ["source", "range"])
     clear = placed.where("side >= 0").select("id", "source", "tokens", (F.col("epochs") + F.col("side")).alias("repeats"))
-    # one range a source is cut, in the order of its keys
-    inside = Window.partitionBy("source", "range").orderBy("key", "id")
-    edge = placed.where("side = -1").withColumn("end", F.col("before") + F.sum("tokens").over(inside))
+    # one range a source is cut: it is parted once more by the next bits of its keys, and only one part is sorted
+    bits = RANGES.bit_length() - 1
+    edge = placed.where("side = -1").withColumn("part", F.shiftrightunsigned(F.shiftleft("key", bits), 64 - bits).cast("int"))
+    parts = edge.groupBy("source", "part").agg(F.sum("tokens").alias("held")).withColumn("sofar", F.sum("held").over(Window.partitionBy("source").orderBy("part")) - F.col("held"))
+    edge = edge.join(parts, ["source", "part"]).withColumn("begin", F.col("before") + F.col("sofar"))
+    lies = F.when(F.col("begin") + F.col("held") <= F.col("rest"), 1).when(F.col("begin") >= F.col("rest"), 0)
+    clear = clear.unionByName(edge.where(lies.isNotNull()).select("id", "source", "tokens", (F.col("epochs") + lies).alias("repeats")))
+    inside = Window.partitionBy("source", "part").orderBy("key", "id")
+    edge = edge.where(lies.isNull()).withColumn("end", F.col("begin") + F.sum("tokens").over(inside))
     taken = (F.col("end") - F.col("tokens") / 2 <= F.col("rest")).cast("int")
     edge = edge.select("id", "source", "tokens", (F.col("epochs") + taken).alias("repeats"))
     chosen = clear.unionByName(edge).where("repeats > 0")
