@@ -17,7 +17,7 @@ def test_registry():
 
 
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables here")
-@pytest.mark.parametrize("name", ["keyword_hits", "keyword_context", "clean_text", "doc_type", "normalize_body", "crawl_dedup", "same_date_interval_join", "conversation_numbering"])
+@pytest.mark.parametrize("name", ["keyword_hits", "keyword_context", "clean_text", "doc_type", "normalize_body", "crawl_dedup", "same_date_interval_join", "conversation_numbering", "thread_messages", "main_body", "quoted_message", "sort_messages", "dedup_messages", "dedup_containment", "link_edges", "conversation_markdown", "subject_similarity", "indel_ratio", "parse_dates"])
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     import __spark_entry__
