@@ -35,7 +35,7 @@ TRAINING_DOCUMENTS = 1500
 #: Made-up samples of each of numbers, mail and street addresses.
 TRAINING_SAMPLES = 6000
 #: Most name words whose counts are broadcast.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 KINDS = ("name", "email", "phone", "idno", "address")
 # Words of organisations, and titles before names.
 ORG_WORDS = frozenset(

@@ -48,7 +48,7 @@ _PREFIX = re.compile(r"^(?:[>|] ?)+")
 _BROKEN = re.compile(rf"(?:^|(?<=\s))(\S*[^\W_])([{BREAKS}]) ?$")
 _BROKEN_INLINE = re.compile(rf"([^\W_][^\s{BREAKS}]*(?:-[^\s{BREAKS}]+)*)([{BREAKS}]) {{1,3}}(?=([^\W\d_]\S*))")
 #: Most words whose counts are broadcast.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 #: Words of the samples that must show an edit before it is tried everywhere.
 EDIT_EVIDENCE = 3
 #: The last non-blank line of a scanned text is a page number; the same forms as in ``furniture``, for the filter inside the scan.
