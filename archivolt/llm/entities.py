@@ -212,8 +212,8 @@ def _grams(word: str, q: int) -> list[str]:
     return [padded[i : i + q] for i in range(len(padded) - q + 1)]
 
 
-def spellings(documents: DataFrame, messages: DataFrame) -> DataFrame:
-    """``name, n, addresses``: every distinct spelling with its number of uses and the mail addresses written beside it."""
+def spellings(documents: DataFrame, messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``name, n``: every distinct spelling with its number of uses; and ``name, address``: the mail addresses written beside it."""
     cell = F.explode(F.split(F.concat_ws(";", "sender", "recipient"), ";"))
     mail = messages.select(cell.alias("cell"))
     address = F.lower(F.nullif(F.regexp_extract("cell", r"[<\[]([^<>\[\]]*@[^<>\[\]]*)[>\]]\s*$", 1), F.lit("")))
@@ -222,9 +222,8 @@ def spellings(documents: DataFrame, messages: DataFrame) -> DataFrame:
     mail = mail.select(bare.alias("name"), address.alias("address"))
     listed = documents.select(F.explode("names").alias("name"), F.lit(None).cast("string").alias("address"))
     used = listed.unionByName(mail).where("name is not null and trim(name) <> '' and not name rlike '^[^ ]+@[^ ]+$'")
-    counted = used.groupBy("name", "address").agg(F.count("*").alias("n"))
-    # a spelling is written with a handful of addresses; equal ones were merged above
-    return counted.groupBy("name").agg(F.sum("n").alias("n"), F.array_sort(F.collect_set("address")).alias("addresses"))
+    counted = materialize(used.groupBy("name", "address").agg(F.count("*").alias("n")), "uses")
+    return counted.groupBy("name").agg(F.sum("n").alias("n")), counted.where("address is not null").select("name", "address")
 
 
 def read_spellings(names: DataFrame) -> DataFrame:
@@ -237,9 +236,9 @@ def read_spellings(names: DataFrame) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             got = [given_reading(rest) if k == "p" else ("full", [rest]) for k, rest in zip(batch["kind"], batch["rest"], strict=True)]
-            yield batch[["name", "n", "addresses", "kind", "head"]].assign(level=[g[0] for g in got], given=[list(g[1]) for g in got])
+            yield batch[["name", "n", "kind", "head"]].assign(level=[g[0] for g in got], given=[list(g[1]) for g in got])
 
-    return known.select(first.columns).mapInPandas(read, "name string, n bigint, addresses array<string>, kind string, head string, level string, given array<string>")
+    return known.select(first.columns).mapInPandas(read, "name string, n bigint, kind string, head string, level string, given array<string>")
 
 
 def _parsed(names: DataFrame) -> DataFrame:
@@ -248,7 +247,7 @@ def _parsed(names: DataFrame) -> DataFrame:
             parts = [read_name(n) for n in batch["name"]]
             yield batch.assign(kind=[p[0] for p in parts], head=[p[1] for p in parts], rest=[p[2] for p in parts])
 
-    return names.mapInPandas(parse, "name string, n bigint, addresses array<string>, kind string, head string, rest string")
+    return names.mapInPandas(parse, "name string, n bigint, kind string, head string, rest string")
 
 
 def _banded(heads: DataFrame, q: int, rows: int, bands: int) -> DataFrame:
@@ -317,17 +316,18 @@ def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return state.select("name", "center")
 
 
-def linked_names(names: DataFrame) -> DataFrame:
-    """``name, center`` of every spelling of a person or organisation (``names`` as from :func:`spellings`)."""
+def linked_names(names: DataFrame, beside: DataFrame) -> DataFrame:
+    """``name, center`` of every spelling of a person or organisation (``names`` and ``beside`` as from :func:`spellings`)."""
     read = materialize(read_spellings(names), "read")
     edges = materialize(similar_spellings(read), "edges")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
-    weak = read.where("kind = 'p' and (level = 'initial' or (level = 'short' and size(given) > 1))").select(F.col("name").alias("a"), F.col("addresses").alias("addresses_a"))
-    full = read.where("level <> 'initial' and size(given) = 1").select(F.col("name").alias("b"), F.col("given")[0].alias("person"), F.col("addresses").alias("addresses_b"), F.col("n").alias("n_b"), "head")
+    weak = read.where("kind = 'p' and (level = 'initial' or (level = 'short' and size(given) > 1))").select(F.col("name").alias("a"))
+    full = read.where("level <> 'initial' and size(given) = 1").select(F.col("name").alias("b"), F.col("given")[0].alias("person"), F.col("n").alias("n_b"))
     # which person does an initial or an ambiguous short form mean: shared addresses first, then uses
     claims = both.join(weak, "a").join(full, "b")
-    shared = F.size(F.array_intersect("addresses_a", "addresses_b"))
-    claims = claims.groupBy("a", "person").agg(F.sum(shared).alias("shared"), F.sum("n_b").alias("uses"))
+    # common addresses are counted along the edges, so the users of one address never meet as such
+    met = claims.select("a", "b").join(beside.withColumnRenamed("name", "a"), "a").join(beside.withColumnRenamed("name", "b"), ["b", "address"]).groupBy("a", "b").agg(F.count("*").alias("common"))
+    claims = claims.join(met, ["a", "b"], "left").groupBy("a", "person").agg(F.sum(F.coalesce("common", F.lit(0))).alias("shared"), F.sum("n_b").alias("uses"))
     chosen = claims.groupBy("a").agg(F.max(F.struct("shared", "uses", "person")).alias("m"), F.sum("uses").alias("all"))
     chosen = chosen.select("a", F.when((F.col("m.shared") > 0) | (F.col("m.uses") >= 0.6 * F.col("all")), F.col("m.person")).alias("chosen"))
     tagged = both.join(chosen.withColumn("judged", F.lit(True)), "a", "left").join(full.select("b", "person"), "b", "left")
@@ -340,8 +340,8 @@ def linked_names(names: DataFrame) -> DataFrame:
     return star_clusters(nodes, edges)
 
 
-def linked_pairs(names: DataFrame) -> DataFrame:
+def linked_pairs(names: DataFrame, beside: DataFrame) -> DataFrame:
     """``name_a, name_b`` of all spellings in one star, a < b by code points."""
-    stars = linked_names(names)
+    stars = linked_names(names, beside)
     a, b = stars.select("center", F.col("name").alias("name_a")), stars.select("center", F.col("name").alias("name_b"))
     return a.join(b, "center").where("name_a < name_b").select("name_a", "name_b")

@@ -90,12 +90,12 @@ def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return entities.linked_pairs(entities.spellings(table(spark, d, "documents"), table(spark, d, "messages")))
+    return entities.linked_pairs(*entities.spellings(table(spark, d, "documents"), table(spark, d, "messages")))
 
 
 @query
 def p6_clusters(spark: SparkSession, d: str) -> DataFrame:
-    return entities.linked_names(entities.spellings(table(spark, d, "documents"), table(spark, d, "messages")))
+    return entities.linked_names(*entities.spellings(table(spark, d, "documents"), table(spark, d, "messages")))
 
 
 @query

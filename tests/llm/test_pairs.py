@@ -130,14 +130,14 @@ NAMES = [
 def test_names(spark):
     documents = spark.createDataFrame([(NAMES * 5,), (["Desmond Norsazak"] * 30,), (None,), ([],), ([None, "", " "],)], "names array<string>")
     messages = spark.createDataFrame([('"Betty Torvane" <b@x.org>', "a@x.org; Gregory Norsazak [g@x.org]"), (None, ""), ("a@x.org", None)], "sender string, recipient string")
-    pairs = {(r.name_a, r.name_b) for r in entities.linked_pairs(entities.spellings(documents, messages)).collect()}
+    pairs = {(r.name_a, r.name_b) for r in entities.linked_pairs(*entities.spellings(documents, messages)).collect()}
     groups = [NAMES[:9], NAMES[9:11], NAMES[11:13], NAMES[15:18], NAMES[18:]]
     want = {(a, b) for g in groups for a in g for b in g if a < b}
     # the initial E. could be Elizabeth or Eleonora: it may join the more frequent one, never both
     loose = {p for p in pairs if "Torvane, E." in p}
     assert pairs - loose == want
     assert not ({p for p in loose if "Eleonora Torvane" in p} and {p for p in loose if "Elizabeth Torvane" in p})
-    none = entities.linked_pairs(entities.spellings(documents.limit(0), messages.limit(0)))
+    none = entities.linked_pairs(*entities.spellings(documents.limit(0), messages.limit(0)))
     assert none.count() == 0
 
 
