@@ -39,15 +39,26 @@ def is_duplicate(norm: str, kept: list[str]) -> bool:
     return False
 
 
-def contained_pairs(bodies: DataFrame, group: str) -> DataFrame:
+def contained_pairs(bodies: DataFrame, group: str, small: int = 64) -> DataFrame:
     """``group, a, b`` of all different bodies (``norm``) of a group of which a, of more than 20 characters, is a part of b.
 
-    A body contained in another has all its fingerprints there, so its rarest one is looked up.
+    The bodies of a group of at most ``small`` meet as they are. In larger groups a body contained in another has all its
+    fingerprints there, so its rarest one is looked up; only digests are exploded, and texts come back to the pairs found.
     """
-    prints = materialize(with_fingerprints(bodies.select(group, "norm"), "norm", 11, 11).select(group, "norm", F.explode("prints").alias("print")), "bodyprints")
-    uses = prints.groupBy(group, "print").agg(F.count("*").alias("n"))
-    rarest = prints.join(uses, [group, "print"]).groupBy(group, "norm").agg(F.min_by("print", F.struct("n", "print")).alias("print"))
-    return rarest.withColumnRenamed("norm", "a").join(prints.withColumnRenamed("norm", "b"), [group, "print"]).where("a <> b").where(F.contains("b", "a")).select(group, "a", "b")
+    c = F.col
+    once = bodies.select(group, "norm").where(c(group).isNotNull() & (F.length("norm") > 20)).distinct()
+    sizes = once.groupBy(group).agg(F.count("*").alias("_n"))
+    few = once.join(sizes.where(c("_n").between(2, small)).select(group), group)
+    near = few.withColumnRenamed("norm", "a").join(few.withColumnRenamed("norm", "b"), group)
+    many = materialize(once.join(sizes.where(c("_n") > small).select(group), group), "manybodies")
+    # two digests name a body within its group
+    body = F.struct(F.xxhash64(group, "norm").alias("x"), F.xxhash64(F.lit(7), "norm").alias("y"))
+    prints = materialize(with_fingerprints(many, "norm", 11, 11).select(body.alias("k"), F.explode("prints").alias("print"), F.xxhash64(group).alias("_g")).select("k", F.xxhash64("_g", "print").alias("print")), "bodyprints")
+    uses = prints.groupBy("print").agg(F.count("*").alias("n"))
+    rarest = prints.join(uses, "print").groupBy("k").agg(F.min_by("print", F.struct("n", "print")).alias("print"))
+    met = rarest.select("print", c("k").alias("ka")).join(prints.select("print", c("k").alias("kb")), "print").where("ka <> kb").select("ka", "kb")
+    far = met.join(many.select(group, c("norm").alias("a"), body.alias("ka")), "ka").join(many.select(c(group).alias("_other"), c("norm").alias("b"), body.alias("kb")), "kb").where(c(group) == c("_other"))
+    return near.select(group, "a", "b").unionByName(far.select(group, "a", "b")).where(F.length("a") < F.length("b")).where(F.contains("b", "a"))
 
 
 def like_pairs(bodies: DataFrame, group: str) -> DataFrame:
