@@ -13,14 +13,14 @@ from archivolt.operators.joins import fuzzy_pairs
 from archivolt.runtime import materialize
 
 
-def dedup_exact(messages: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """The first message of each group and compared body; bodies under 10 compared characters are dropped.
+def dedup_exact(messages: DataFrame, group: str, order: list[str], keep: list[str] | None = None) -> DataFrame:
+    """The first message of each group and compared body; bodies under 10 compared characters are dropped. ``keep`` are the columns wanted, without it all.
 
     Only the first copy can ever be kept, so this pre-aggregation is exact for the greedy phase. ``first`` is
     a minimum by key: no window gathers a group.
     """
     with_norm = messages.withColumn("norm", normalize_body(F.col("body"))).where(F.length("norm") >= 10)
-    rest = [c for c in with_norm.columns if c not in (group, "norm")]
+    rest = [c for c in keep or with_norm.columns if c not in (group, "norm")]
     first = with_norm.groupBy(group, "norm").agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("m"))
     return first.select(group, "norm", "m.*")
 
@@ -96,35 +96,43 @@ def first_of_like(bodies: DataFrame, group: str, order: list[str]) -> DataFrame:
     return bodies if gone is None else bodies.join(gone, [group, "norm"], "left_anti").select(bodies.columns)
 
 
-def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int = 500) -> DataFrame:
-    """Greedy fuzzy dedup within each group: the first of like messages stays, in the given order.
+def greedy_keep(parts: DataFrame, group: str, order: list[str], buckets: int) -> DataFrame:
+    """The rows that strict order keeps within each group; many groups share a bucket, so no group costs a call of its own."""
 
-    Exact copies go first, natively. What is left of a group (a conversation) is taken by one task; a group of
-    more than ``hot`` different bodies is decided in rounds over its like pairs, with the same result.
-    """
-    # as a text a null group is a key like any other
-    first = dedup_exact(messages, group, order).withColumn("_g", F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("")))
-    sized = first.groupBy("_g").agg(F.count("*").alias("_n"))
-    parts = first.join(sized, "_g")
-
-    def greedy(part: pd.DataFrame) -> pd.DataFrame:
-        kept: list[str] = []
-        keep = []
-        part = part.sort_values([*order, "norm"], kind="stable")
-        for norm in part["norm"]:
+    def greedy(bucket: pd.DataFrame) -> pd.DataFrame:
+        bucket = bucket.sort_values([group, *order, "norm"], kind="stable")
+        at, kept, keep = None, [], []
+        for g, norm in zip(bucket[group], bucket["norm"], strict=True):
+            if g != at:
+                at, kept = g, []
             duplicate = is_duplicate(norm, kept)
             keep.append(not duplicate)
             if not duplicate:
                 kept.append(norm)
-        return part[keep]
-
-    parts = materialize(parts, "dedup")
-    schema = ", ".join(f"`{n}` {t}" for n, t in parts.dtypes)
-    whole = parts.where(F.col("_n") <= hot).groupBy("_g").applyInPandas(greedy, schema)
-    large = parts.where(F.col("_n") > hot)
-    if large.limit(1).count():
-        whole = whole.unionByName(first_of_like(large, "_g", order))
-    return whole.select(first.columns).drop("_g")
+        return bucket[keep]
+
+    dealt = parts.withColumn("_bucket", F.pmod(F.xxhash64(group), F.lit(buckets)))
+    return dealt.groupBy("_bucket").applyInPandas(greedy, ", ".join(f"`{n}` {t}" for n, t in dealt.dtypes)).drop("_bucket")
+
+
+def dedup_messages(messages: DataFrame, group: str, order: list[str], hot: int = 500, keep: list[str] | None = None) -> DataFrame:
+    """Greedy fuzzy dedup within each group: the first of like messages stays, in the given order.
+
+    Exact copies go first, natively. What is left of a group (a conversation) is taken by one task; a group of
+    more than ``hot`` different bodies is decided in rounds over its like pairs, with the same result. ``keep`` are the
+    columns wanted, without it all; ``order`` is among them.
+    """
+    # as a text a null group is a key like any other
+    first = dedup_exact(messages, group, order, keep).withColumn("_g", F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit("")))
+    first = materialize(first, "dedup")
+    large = F.broadcast(first.groupBy("_g").agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select("_g"))
+    # a few buckets a task
+    buckets = 4 * int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = greedy_keep(first.join(large, "_g", "left_anti").select(first.columns), "_g", order, buckets)
+    hot_ones = first.join(large, "_g", "left_semi").select(first.columns)
+    if hot_ones.limit(1).count():
+        whole = whole.unionByName(first_of_like(hot_ones, "_g", order))
+    return whole.drop("_g")
 
 
 def sort_messages(messages: DataFrame, group: str, order: list[str]) -> DataFrame:
