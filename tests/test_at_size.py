@@ -71,3 +71,20 @@ def test_junk_is_found_by_its_pieces(column):
     mails = ["a@b.c-d@e.f", "x.y@z.com@q.org", "no mail@ here@there", "-a-@b.c.d é®@x.yz", "a@b.c®d@e.fg;h@i.jk"]
     plain = lambda c: F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"(?iuU)[\w.\-®]+@[\w.-]+\.\w+"), F.lit(0)), lambda e: text.normalize_email(e))))
     assert column(text.extract_emails, mails) == column(plain, mails)
+
+
+def test_common_text_is_found_once_and_no_conversation_is_made_for_nothing(spark, monkeypatch):
+    from unittest.mock import MagicMock
+
+    from archivolt.plans import queries
+
+    for name in ("conversation_confidence", "conversation_markdown", "standalone_markdown", "index_lines"):
+        found, made = MagicMock(), MagicMock(return_value=(MagicMock(), MagicMock()))
+        for module, part, fake in (
+            (queries, "_linked", MagicMock(return_value=(MagicMock(), MagicMock(), MagicMock()))), (queries, "materialize", lambda df, _: df), (links, "materialize", lambda df, _: df), (links, "common_text", found), (links, "like_subjects", MagicMock()),
+            (links, "score_pairs", MagicMock()), (links, "link_candidates", MagicMock()), (queries.graph, "capped_clusters", MagicMock()), (queries.conv, "conversations", made), (queries.conv, "cluster_pairs", MagicMock()), (queries.conv, "numbered", MagicMock()), (queries, "render", MagicMock()),
+            (queries.text, "clean_text", lambda c: F.lit("")),
+        ):
+            monkeypatch.setattr(module, part, fake)
+        queries.QUERIES[name](spark, "nowhere")
+        assert found.call_count == 1 and made.call_count == (name != "standalone_markdown")
